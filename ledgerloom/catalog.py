@@ -26,6 +26,7 @@ from ledgerloom.operators import (
 from ledgerloom.operators.changes import products_of, with_run
 from ledgerloom.plans import processes
 from ledgerloom.sources.fixtures import derived_tables
+from ledgerloom.sources.staging import Stage
 from ledgerloom.sources.tables import Tables
 
 
@@ -116,8 +117,9 @@ def _formula(name: str) -> Query:
     def build(t: Tables) -> DataFrame:
         products = products_of(t, "interest_calculation_method", "payment_frequency")
         loans = with_run(t.loan_summary, t).join(products, "product_id")
-        value = formulas.FORMULAS[name](formulas.LoanTerms(F.col("run_date")))
-        return loans.select("loan_summary_id", value.alias("amount"))
+        value = formulas.FORMULAS[name](formulas.LoanTerms())
+        rows = formulas.with_terms(loans, F.col("run_date"))
+        return rows.select("loan_summary_id", value.alias("amount"))
 
     return Query("loan_summary_id amount:m", build)
 
@@ -180,8 +182,30 @@ def _voided(t: Tables) -> DataFrame:
     return masters.unionByName(details)
 
 
+def _staged(t: Tables, name: str, df: DataFrame) -> DataFrame:
+    """A small result that several later branches read, written once."""
+    return Stage(t.run_control.sparkSession, "query").save(name, df)
+
+
+def _postings(t: Tables) -> DataFrame:
+    return vouchers.voucher_postings(t, _staged(t, "amounts", vouchers.day_amounts(t)))
+
+
 def _one_rule(rule: str) -> Query:
-    return Query(_LINE, lambda t: vouchers.voucher_postings(t).filter(F.col("rule") == rule))
+    return Query(_LINE, lambda t: _postings(t).filter(F.col("rule") == rule))
+
+
+def _gates(t: Tables) -> DataFrame:
+    return vouchers.voucher_gates(t, _staged(t, "amounts", vouchers.day_amounts(t)))
+
+
+def _closable(t: Tables) -> DataFrame:
+    return _staged(t, "closable", accounts.closable_accounts(t))
+
+
+def _released(t: Tables) -> DataFrame:
+    closable = _closable(t)
+    return accounts.release_members(t, closable, accounts.close_accounts(t, closable))
 
 
 def _interest(t: Tables) -> DataFrame:
@@ -317,30 +341,31 @@ QUERIES: dict[str, Query] = {
     "acc_close_candidates": Query(
         "organization_id office_id center_id member_id product_id no_of_account", accounts.close_candidates
     ),
-    "acc_close_accounts": Query(_SAVING_STATE, accounts.close_accounts),
-    "acc_release_members": Query(
-        "member_id member_status release_date:d", lambda t: accounts.release_members(t, accounts.close_accounts(t))
-    ),
+    "acc_close_accounts": Query(_SAVING_STATE, lambda t: accounts.close_accounts(t, _closable(t))),
+    "acc_release_members": Query("member_id member_status release_date:d", _released),
     # validations
     "val_start_of_day": Query(_RULE_REPORT, validations.start_of_day_report),
     "val_day_end": Query(_RULE_REPORT, validations.day_end_report),
     "val_month_end": Query(_RULE_REPORT, validations.month_end_report),
     "val_auto_voucher": Query(_RULE_REPORT, validations.auto_voucher_report),
     # vouchers
-    "voucher_postings": Query(_LINE, vouchers.voucher_postings),
+    "voucher_postings": Query(_LINE, _postings),
     **{f"vp_{n:02d}": _one_rule(f"P{n:02d}") for n in range(1, 33)},
     "voucher_void_previous": Query("kind:s row_id is_active", _voided),
     "voucher_masters": Query(
         "voucher_key:s organization_id office_id trx_date:d voucher_no:s voucher_type:s is_posted is_auto_voucher",
-        vouchers.voucher_masters,
+        lambda t: vouchers.voucher_masters(t, _postings(t)),
+    ),
+    "voucher_details": Query(
+        "voucher_key:s rule:s acc_id credit:m debit:m narration:s",
+        lambda t: vouchers.voucher_details(t, _postings(t)),
     ),
-    "voucher_details": Query("voucher_key:s rule:s acc_id credit:m debit:m narration:s", vouchers.voucher_details),
     "voucher_numbers": Query("office_id voucher_no:s", vouchers.voucher_numbers),
     "voucher_flag_done": Query("office_id check_auto_voucher", day_end.raise_voucher_flag),
     "voucher_gates": Query(
         "office_id h01 h02 h03 h04 h05 h06 h07l h07s h08 h09 h10 h11c h11b h12 h13 h14 h15 h16 h17 h18 h19 h20 h21 "
         "h22 h23 h24 h25 h26",
-        vouchers.voucher_gates,
+        _gates,
     ),
     # month close
     "mon_saving_transactions": Query(_BALANCE, month_close.saving_transactions),
@@ -382,16 +407,16 @@ QUERIES: dict[str, Query] = {
     # whole processes
     "run_start_of_day": Query(
         _LOAN_SHEET.replace("duration_over_loan_due:m duration_over_int_due:m", "").strip(),
-        lambda t: processes.start_of_day(t).tables.daily_loan_trx,
+        lambda t: processes.start_of_day(t, enforce=False).tables.daily_loan_trx,
     ),
     "run_day_end": Query(
         "loan_summary_id loan_status loan_close_date:d posted principal_loan:m loan_repaid:m int_paid:m int_charge:m "
         "installment_no installment_date:d cum_loan_due:m cum_int_due:m cur_loan:m cur_int_paid:m cur_int_charge:m "
         "cur_loan_due:m cur_int_due:m",
-        lambda t: processes.day_end(t).tables.loan_summary,
+        lambda t: processes.day_end(t, enforce=False).tables.loan_summary,
     ),
     "run_month_close": Query(
         f"{_ACCOUNT} balance:m interest:m transaction_date:d",
-        lambda t: processes.month_close(t).tables.month_wise_saving_interest,
+        lambda t: processes.month_close(t, enforce=False).tables.month_wise_saving_interest,
     ),
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import day_diff
@@ -22,59 +22,56 @@ OTHER_DIVISOR = 1200
 DAY_COUNT_BASE = 36500
 
 
+def with_terms(loans: DataFrame, business_date: Column) -> DataFrame:
+    """Add the intermediate amounts every formula starts from, as columns prefixed ``f_``.
+
+    ``loans`` holds loan and product columns under their table names.
+    """
+    balance = money(F.col("principal_loan") - F.col("loan_repaid"))
+    staged = loans.withColumns(
+        {
+            "f_balance": balance,
+            "f_volume": balance * F.col("interest_rate").cast(RATE),
+            "f_recoverable": money(F.col("loan_installment") + F.col("int_installment")),
+            "f_cumulative_paid": money(F.col("loan_repaid") + F.col("int_paid")),
+        }
+    )
+    divisor = F.when(F.col("payment_frequency") == "W", WEEKLY_DIVISOR).otherwise(OTHER_DIVISOR)
+    days = F.abs(day_diff(F.col("installment_date"), business_date))
+    return staged.withColumns(
+        {
+            # interest of one instalment period, whole
+            "f_period_interest": money(ratio_whole(F.col("f_volume"), divisor)),
+            # day-count interest since the last instalment, whole
+            "f_daily_interest": money(ratio_whole(F.col("f_volume") * days, F.lit(DAY_COUNT_BASE))),
+            "f_reducing_interest": money(F.coalesce(F.col("f_volume") / OTHER_DIVISOR, F.lit(0))),
+        }
+    )
+
+
 def _column(name: str):
     return field(default_factory=lambda: F.col(name))
 
 
 @dataclass(frozen=True)
 class LoanTerms:
-    """Columns of one loan and its product on one business date."""
+    """Columns of one loan, its product and the intermediate amounts of :func:`with_terms`."""
 
-    business_date: Column
     method: Column = _column("interest_calculation_method")
-    frequency: Column = _column("payment_frequency")
     principal: Column = _column("principal_loan")
     repaid: Column = _column("loan_repaid")
     loan_installment: Column = _column("loan_installment")
     int_installment: Column = _column("int_installment")
-    rate: Column = _column("interest_rate")
     charge: Column = _column("int_charge")
     paid: Column = _column("int_paid")
-    installment_date: Column = _column("installment_date")
     installment_no: Column = _column("installment_no")
     duration: Column = _column("duration")
-
-    @property
-    def balance(self) -> Column:
-        return money(self.principal - self.repaid)
-
-    @property
-    def recoverable(self) -> Column:
-        return money(self.loan_installment + self.int_installment)
-
-    @property
-    def cumulative_paid(self) -> Column:
-        return money(self.repaid + self.paid)
-
-    @property
-    def _balance_times_rate(self) -> Column:
-        return self.balance * self.rate.cast(RATE)
-
-    @property
-    def period_interest(self) -> Column:
-        """Interest of one instalment period, whole."""
-        divisor = F.when(self.frequency == "W", WEEKLY_DIVISOR).otherwise(OTHER_DIVISOR)
-        return money(ratio_whole(self._balance_times_rate, divisor))
-
-    @property
-    def daily_interest(self) -> Column:
-        """Day-count interest since the last instalment, whole."""
-        days = F.abs(day_diff(self.installment_date, self.business_date))
-        return money(ratio_whole(self._balance_times_rate * days, F.lit(DAY_COUNT_BASE)))
-
-    @property
-    def reducing_interest(self) -> Column:
-        return money(F.coalesce(self._balance_times_rate / OTHER_DIVISOR, F.lit(0)))
+    balance: Column = _column("f_balance")
+    recoverable: Column = _column("f_recoverable")
+    cumulative_paid: Column = _column("f_cumulative_paid")
+    period_interest: Column = _column("f_period_interest")
+    daily_interest: Column = _column("f_daily_interest")
+    reducing_interest: Column = _column("f_reducing_interest")
 
     def by_method(self, **branches: Column) -> Column:
         """One branch per method letter; an unknown or NULL method gives zero."""

@@ -138,7 +138,7 @@ def _members_with_loan(t: Tables, members: DataFrame) -> DataFrame:
     )
 
 
-def _closable(t: Tables) -> DataFrame:
+def closable_accounts(t: Tables) -> DataFrame:
     """Candidates without an open member loan whose net balance after today's rows is not positive.
 
     ``compulsory`` marks products whose main code starts with 21; ``summed_ok`` is the net test over all rows that
@@ -173,50 +173,54 @@ def _closable(t: Tables) -> DataFrame:
     )
 
 
-def _apply_closing(t: Tables, saving_summary: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Close the given accounts with the office's latest business date."""
+def _open_voluntary(t: Tables, accounts: DataFrame) -> DataFrame:
+    """Open active accounts outside the compulsory main products."""
+    others = products_of(t, "main_product_code").filter(~starts_with("main_product_code", "21"))
+    return accounts.filter("saving_status = 1 AND is_active = 1").join(others, "product_id", "left_semi")
+
+
+def close_accounts(t: Tables, closable: DataFrame) -> DataFrame:
+    """Savings accounts after closing: others first, then compulsory ones no other account holds open.
+
+    ``closable`` is the result of :func:`closable_accounts`; the accounts closed carry the office's latest business
+    date.
+    """
     keys = ["organization_id", *ACCOUNT_KEYS]
+    others = closable.filter("NOT compulsory").select(*keys)
+    compulsory = closable.filter("compulsory").select(*keys)
+    held_open = (
+        _open_voluntary(t, t.saving_summary)
+        .join(compulsory.select(*MEMBER_KEYS).distinct(), MEMBER_KEYS, "left_semi")
+        .join(others, keys, "left_anti")
+        .select(*MEMBER_KEYS)
+        .distinct()
+    )
+    closing = others.unionByName(compulsory.join(held_open, MEMBER_KEYS, "left_anti"))
     latest = t.process_info.groupBy("office_id").agg(F.max("business_date").alias("closed_on"))
-    marks = accounts.select(*keys, F.lit(1).alias("closing"))
-    df = saving_summary.join(marks, keys, "left").join(latest, "office_id", "left")
+    marks = closing.join(latest, "office_id", "left").withColumn("closing", F.lit(1))
     df = set_where(
-        df,
+        t.saving_summary.join(marks, keys, "left"),
         F.col("closing") == 1,
         saving_status=0,
         closing_date=F.col("closed_on"),
         transaction_date=F.col("closed_on"),
     )
-    return df.select(*saving_summary.columns)
-
-
-def _open_voluntary(t: Tables, saving_summary: DataFrame) -> DataFrame:
-    """Members with an open active account outside the compulsory main products."""
-    others = products_of(t, "main_product_code").filter(~starts_with("main_product_code", "21"))
-    rows = saving_summary.filter("saving_status = 1 AND is_active = 1").join(others, "product_id", "left_semi")
-    return rows.select(*MEMBER_KEYS).distinct()
-
-
-def close_accounts(t: Tables) -> DataFrame:
-    """Savings accounts after closing: others first, then compulsory ones no other account holds open."""
-    closable = _closable(t)
-    after_first = _apply_closing(t, t.saving_summary, closable.filter("NOT compulsory"))
-    compulsory = closable.filter("compulsory").join(_open_voluntary(t, after_first), MEMBER_KEYS, "left_anti")
-    return _apply_closing(t, after_first, compulsory)
+    return df.select(*t.saving_summary.columns)
 
 
-def release_members(t: Tables, closed: DataFrame) -> DataFrame:
+def release_members(t: Tables, closable: DataFrame, closed: DataFrame) -> DataFrame:
     """Members whose compulsory account was closable and who keep no open or positive account are released.
 
     ``closed`` is the result of :func:`close_accounts`.
     """
     keys = ["organization_id", *MEMBER_KEYS]
-    reached = _closable(t).filter("compulsory AND summed_ok").select(*keys).distinct()
-    positive = closed.filter((F.col("is_active") == 1) & (_bare_balance() > 0))
+    reached = closable.filter("compulsory AND summed_ok").select(*keys).distinct()
+    own = closed.join(reached.select(*MEMBER_KEYS).distinct(), MEMBER_KEYS, "left_semi")
+    positive = own.filter((F.col("is_active") == 1) & (_bare_balance() > 0))
     positive = positive.join(t.products.select("product_id"), "product_id", "left_semi").select(*MEMBER_KEYS)
-    holding = _open_voluntary(t, closed).unionByName(positive).distinct()
-    released = reached.join(holding, MEMBER_KEYS, "left_anti").withColumn("released", F.lit(1))
+    holding = _open_voluntary(t, own).select(*MEMBER_KEYS).unionByName(positive).distinct()
     latest = t.process_info.groupBy("office_id").agg(F.max("business_date").alias("released_on"))
-    df = t.members.join(released, keys, "left").join(latest, "office_id", "left")
-    return set_where(
-        df, F.col("released") == 1, member_status=2, release_date=F.col("released_on")
-    ).select(*t.members.columns)
+    released = reached.join(holding, MEMBER_KEYS, "left_anti").join(latest, "office_id", "left")
+    df = t.members.join(released.withColumn("released", F.lit(1)), keys, "left")
+    df = set_where(df, F.col("released") == 1, member_status=2, release_date=F.col("released_on"))
+    return df.select(*t.members.columns)

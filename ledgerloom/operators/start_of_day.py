@@ -200,7 +200,7 @@ def _is_monthly_row() -> Column:
 def _loan_rows(t: Tables, loans: DataFrame) -> DataFrame:
     """Loan sheet layout for rows labelled by ``part`` (0 weekly, 1 monthly)."""
     members = t.members.select(*MEMBER_KEYS, "member_code", member_name().alias("member_name"))
-    terms = formulas.LoanTerms(F.col("run_date"))
+    terms = formulas.LoanTerms()
 
     def amount(name: str) -> Column:
         return F.coalesce(formulas.FORMULAS[name](terms), zero()).alias(name)
@@ -209,7 +209,8 @@ def _loan_rows(t: Tables, loans: DataFrame) -> DataFrame:
         return F.when(F.col("part") == 0, F.coalesce(formulas.FORMULAS[name](terms), zero())).alias(name)
 
     before_start = F.col("run_date") < F.col("installment_start_date")
-    return loans.join(members, MEMBER_KEYS).select(
+    rows = formulas.with_terms(loans.join(members, MEMBER_KEYS), F.col("run_date"))
+    return rows.select(
         (F.col("loan_summary_id") * 2 + F.col("part")).alias("daily_loan_trx_id"),
         F.col("run_date").alias("trx_date"),
         "loan_summary_id",

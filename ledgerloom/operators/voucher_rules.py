@@ -61,18 +61,30 @@ RULES = (
     Rule("P31", 6, "dlt", (31, 71), LOANS, "RB", "Dr", "int_paid", "Dr", "H25", "Rebate SC as per List"),
 )
 
-# fixed values: rules not driven by the table above
+# fixed values: rules not driven by the table above, as rule, batch, gate, narration
 MISC = ("P01", 1, "H04", "By receiving Miscellaneous Entry as per list")
-MEMBER_FEES = (
-    ("P02", 1, "H05", "MA", "admission_fee", "By Members Admission Fee as per list"),
-    ("P03", 1, "H05", "PB", "pass_book_fee", "By Members PassBook Fee as per list"),
-    ("P04", 1, "H05", "LF", "loan_form_fee", "By Sale of Loan Form as per list"),
-)
-RISK_FUND = (("P05", 1, "H06", "RM"), ("P06", 1, "H06", "RH"))
-RISK_FUND_NARRATION = "RiskFund as per List"
 PARTIAL_INTEREST = ("P09", 1, "H08", "By receiving LoanInstallment as per list")
-WRITE_OFF_RESERVE = ("P23", 5, "H19", "LL", "LLP Adjust to WriteOff Declaration as per List")
-RISK_FUND_ADJUSTMENT = ("P32", 7, "H26", "RM", "RiskFund Adjustment as per list")
+
+# fixed values: rules on the account of an indicator, as rule, batch, gate, indicator, entry type, whether the account
+# must be active, side, narration
+NAMED_RULES = (
+    ("P02", 1, "H05", "MA", "Cr", True, "Cr", "By Members Admission Fee as per list"),
+    ("P03", 1, "H05", "PB", "Cr", True, "Cr", "By Members PassBook Fee as per list"),
+    ("P04", 1, "H05", "LF", "Cr", True, "Cr", "By Sale of Loan Form as per list"),
+    ("P05", 1, "H06", "RM", "Cr", False, "Cr", "RiskFund as per List"),
+    ("P06", 1, "H06", "RH", "Cr", False, "Cr", "RiskFund as per List"),
+    ("P23", 5, "H19", "LL", "Cr", False, "anti", "LLP Adjust to WriteOff Declaration as per List"),
+    ("P32", 7, "H26", "RM", "Dr", False, "Dr", "RiskFund Adjustment as per list"),
+)
+# amounts such a rule takes as they are, as rule, source, amount
+NAMED_AMOUNTS = (
+    ("P02", "joined", "admission_fee"),
+    ("P03", "joined", "pass_book_fee"),
+    ("P04", "joined", "loan_form_fee"),
+    ("P32", "deceased", "transfers"),
+)
+
+# fixed values: rules whose two disbursement kinds form one line, organizations without rebate vouchers
 DISBURSEMENT_RULES = ("P12", "P17", "P18")
 NO_REBATE_ORGANIZATIONS = (5, 54)
 REBATE_BATCH = 6
@@ -115,6 +127,9 @@ GATES = (
     Gate("H25", "dlt", (31, 71), LOANS, "SR", "Cr", "int_paid"),
 )
 
+# gates any row of a source opens, as source, gate
+ROW_GATES = (("joined_here", "H05"), ("fund", "H06"), ("deceased", "H26"))
+
 GATE_NAMES = (
     "H01", "H02", "H03", "H04", "H05", "H06", "H07L", "H07S", "H08", "H09", "H10", "H11C", "H11B", "H12", "H13",
     "H14", "H15", "H16", "H17", "H18", "H19", "H20", "H21", "H22", "H23", "H24", "H25", "H26",

@@ -1,7 +1,8 @@
 """Automatic vouchers: the day's transactions as double-entry lines.
 
 Each source table is summed once to (office, product, type[, bank]) - a size set by the chart of products, not by the
-number of transactions - and all 32 rules and 28 gates work on those sums through one join with the rule table.
+number of transactions - and all 32 rules and 28 gates work on those sums, most of
+them through one join with the rule table.
 """
 
 from __future__ import annotations
@@ -9,8 +10,10 @@ from __future__ import annotations
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerloom.functions.money import MONEY, RATE, WHOLE, nz
 from ledgerloom.functions.text import starts_with, voucher_with_last_year
@@ -105,9 +108,89 @@ def _disbursement_amounts(t: Tables) -> DataFrame:
     return _amounts(sums, F.col("source"), names)
 
 
+def _misc_amounts(t: Tables) -> DataFrame:
+    """Active miscellaneous receipts of the run date per product."""
+    rows = t.miscellaneous.filter("is_active = 1").join(_run(t), "office_id")
+    rows = rows.filter(F.col("trx_date") == F.col("run_date"))
+    sums = rows.groupBy("office_id", "product_id").agg(F.sum("amount").alias("receipts"))
+    return _amounts(_without_type(sums), F.lit("misc"), ["receipts"])
+
+
+def _member_amounts(t: Tables) -> DataFrame:
+    """Fees of members who joined on the run date without a transfer.
+
+    The rules look for a transfer in every office (source ``joined``), their gate only in the member's own office
+    (source ``joined_here``).
+    """
+    members = (
+        t.members.filter("is_active = 1 AND member_status = 1")
+        .join(_run(t), "office_id")
+        .filter(F.col("join_date") == F.col("run_date"))
+    )
+    transfers = (
+        t.transfer_history.select(F.col("tr_member_id").alias("member_id"), F.col("office_id").alias("from_office"))
+        .groupBy("member_id")
+        .agg(F.collect_set("from_office").alias("from_offices"))
+    )
+    here = F.coalesce(F.array_contains("from_offices", F.col("office_id")), F.lit(False))
+    sources = F.array_compact(
+        F.array(F.when(F.col("from_offices").isNull(), F.lit("joined")), F.when(~here, F.lit("joined_here")))
+    )
+    fees = {
+        "admission_fee": F.col("admission_fee"),
+        "pass_book_fee": F.col("pass_book_fee"),
+        "loan_form_fee": F.col("loan_form_fee").cast(WHOLE),
+    }
+    sums = (
+        members.join(transfers, "member_id", "left")
+        .groupBy("office_id", "member_category_id", sources.alias("sources"))
+        .agg(F.count(F.lit(1)).alias("members"))
+        .join(t.member_categories, "member_category_id")
+        .withColumn("source", F.explode("sources"))
+        .groupBy("office_id", "source")
+        .agg(*[F.sum(F.col("members") * fee).alias(name) for name, fee in fees.items()])
+        .withColumn("product_id", F.lit(None).cast("bigint"))
+    )
+    return _amounts(_without_type(sums), F.col("source"), list(fees))
+
+
+def _deceased_amounts(t: Tables) -> DataFrame:
+    """Transfers (type 21) paid on loans of deceased members."""
+    deceased = t.expire_infos.groupBy("office_id", "member_id").agg(F.count(F.lit(1)).alias("entries"))
+    sums = (
+        t.daily_loan_trx.filter("loan_paid > 0 AND trx_type = 21")
+        .join(_run(t).select("office_id"), "office_id", "left_semi")
+        .groupBy("office_id", "member_id")
+        .agg(F.sum("loan_paid").alias("loan_paid"))
+        .join(deceased, ["office_id", "member_id"])
+        .groupBy("office_id")
+        .agg(F.sum(F.col("loan_paid") * F.col("entries")).alias("transfers"))
+        .withColumn("product_id", F.lit(None).cast("bigint"))
+    )
+    return _amounts(_without_type(sums), F.lit("deceased"), ["transfers"])
+
+
+def _without_type(df: DataFrame) -> DataFrame:
+    nothing = F.lit(None).cast("string")
+    return df.withColumns({"type": nothing, "bank_name": nothing})
+
+
 def day_amounts(t: Tables) -> DataFrame:
-    """Everything the rules and gates sum, from one pass over each of the three source tables."""
-    return _union([_loan_amounts(t), _saving_amounts(t), _disbursement_amounts(t)])
+    """Everything the rules and gates sum, from one pass over each source table.
+
+    Its size is set by offices, products and transaction types, so a caller writes it once and evaluates every rule
+    and gate on the written copy.
+    """
+    return _union(
+        [
+            _loan_amounts(t),
+            _saving_amounts(t),
+            _disbursement_amounts(t),
+            _misc_amounts(t),
+            _member_amounts(t),
+            _deceased_amounts(t),
+        ]
+    )
 
 
 # ---------------------------------------------------------------- rule and gate evaluation
@@ -126,7 +209,10 @@ def _entries(t: Tables) -> DataFrame:
 
 
 def _table(t: Tables, rows: list[tuple], layout: str) -> DataFrame:
-    return t.run_control.sparkSession.createDataFrame(rows, layout)
+    """A constant table; made from Arrow so that the plan knows its size."""
+    schema = StructType.fromDDL(layout)
+    columns = {name: list(values) for name, values in zip(schema.names, zip(*rows))}
+    return t.run_control.sparkSession.createDataFrame(pa.table(columns), schema)
 
 
 def _matched(t: Tables, amounts: DataFrame, table: DataFrame) -> DataFrame:
@@ -202,65 +288,6 @@ def _table_gate_hits(t: Tables, amounts: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- rules outside the table
 
 
-def _named_account(t: Tables, indicator: str, entry: str = "Cr", active: bool = False) -> DataFrame:
-    """The account of an indicator that belongs to no product, as a one-row lookup."""
-    entries = _entries(t).filter((F.col("indicator") == indicator) & (F.col("entry_type") == entry))
-    chart = t.acc_chart.filter("is_active = 1") if active else t.acc_chart
-    return entries.join(chart.select("acc_code", "acc_id"), "acc_code").select("indicator", "acc_id")
-
-
-def _fixed_lines(
-    df: DataFrame, rule: str, batch: int, gate: str, amount: Column, side: str, narration: str
-) -> DataFrame:
-    return df.select(
-        "office_id",
-        F.lit(rule).alias("rule"),
-        F.lit(batch).alias("batch"),
-        F.lit(gate).alias("gate"),
-        F.lit(None).cast("string").alias("voucher_category"),
-        "acc_id",
-        amount.cast("decimal(38,2)").alias("amount"),
-        F.lit(side).alias("side"),
-        F.lit(narration).alias("narration"),
-    )
-
-
-def _misc_rows(t: Tables) -> DataFrame:
-    """Active miscellaneous receipts of the run date, summed per office and account."""
-    accounts = t.acc_chart.select(F.col("acc_code").alias("product_code"), "acc_id")
-    return (
-        t.miscellaneous.filter("is_active = 1")
-        .join(_run(t), "office_id")
-        .filter(F.col("trx_date") == F.col("run_date"))
-        .groupBy("office_id", "product_id")
-        .agg(F.sum("amount").alias("amount"))
-        .join(products_of(t, "product_code"), "product_id")
-        .join(accounts, "product_code")
-        .groupBy("office_id", "acc_id")
-        .agg(F.sum("amount").alias("amount"))
-    )
-
-
-def _joined_members(t: Tables, anywhere: bool) -> DataFrame:
-    """Members who joined on the run date without a transfer, counted per office and category.
-
-    ``anywhere`` looks for the transfer in every office, otherwise only in the member's own.
-    """
-    members = (
-        t.members.filter("is_active = 1 AND member_status = 1")
-        .join(_run(t), "office_id")
-        .filter(F.col("join_date") == F.col("run_date"))
-    )
-    transfers = t.transfer_history.select(F.col("tr_member_id").alias("member_id"), "office_id")
-    keys = ["member_id"] if anywhere else ["member_id", "office_id"]
-    kept = members.join(transfers.select(*keys).distinct(), keys, "left_anti")
-    return (
-        kept.groupBy("office_id", "member_category_id")
-        .agg(F.count(F.lit(1)).alias("members"))
-        .join(t.member_categories, "member_category_id")
-    )
-
-
 def _written_off(t: Tables, amounts: DataFrame) -> DataFrame:
     main_loans = products_of(t, "product_type").filter("product_type = 1")
     return (
@@ -285,65 +312,82 @@ def _partial_interest(t: Tables, amounts: DataFrame, keys: list[str]) -> DataFra
     )
 
 
+def _misc_rows(t: Tables, amounts: DataFrame) -> DataFrame:
+    accounts = t.acc_chart.select(F.col("acc_code").alias("product_code"), "acc_id")
+    return (
+        amounts.filter("source = 'misc'")
+        .join(products_of(t, "product_code"), "product_id")
+        .join(accounts, "product_code")
+        .groupBy("office_id", "acc_id")
+        .agg(F.sum("amount").alias("amount"))
+    )
+
+
 def _risk_funds(t: Tables, amounts: DataFrame) -> DataFrame:
-    """The insured share of today's unposted disbursements per office."""
+    """The insured share of today's unposted disbursements per office, split 70 to 30 with the first part whole."""
     insured = F.col("amount").cast("decimal(24,2)") * F.col("insurance_item_rate").cast(RATE)
+    share = F.round(F.col("fund") * F.lit(Decimal("0.7")), 0)
+    parts = F.array(
+        F.struct(F.lit("P05").alias("rule"), share.cast("decimal(38,2)").alias("amount")),
+        F.struct(F.lit("P06").alias("rule"), (F.col("fund") - share).cast("decimal(38,2)").alias("amount")),
+    )
     return (
         amounts.filter("source = 'fund' AND amount_name = 'principal'")
         .join(products_of(t, "product_code", "insurance_item_rate"), "product_id")
         .filter(~starts_with("product_code", "7"))
         .groupBy("office_id")
         .agg(F.sum(insured * F.lit(Decimal("0.01"))).cast("decimal(30,6)").alias("fund"))
+        .select("office_id", F.inline(parts))
     )
 
 
-def _risk_fund_payments(t: Tables) -> DataFrame:
-    """Transfers (type 21) paid on loans of deceased members, per office."""
-    deceased = t.expire_infos.groupBy("office_id", "member_id").agg(F.count(F.lit(1)).alias("entries"))
+def _named_lines(t: Tables, amounts: DataFrame) -> DataFrame:
+    """Lines on the accounts of indicators that belong to no product."""
+    layout = (
+        "rule string, batch int, gate string, indicator string, entry_type string, must_be_active boolean, "
+        "side string, narration string"
+    )
+    direct = _table(t, list(R.NAMED_AMOUNTS), "rule string, source string, amount_name string")
+    totals = _union(
+        [
+            amounts.join(direct, ["source", "amount_name"]).select("office_id", "rule", "amount"),
+            _risk_funds(t, amounts).select("office_id", "rule", "amount"),
+            _written_off(t, amounts).select("office_id", F.lit("P23").alias("rule"), "amount"),
+        ]
+    )
+    chart = t.acc_chart.select("acc_code", "acc_id", F.col("is_active").alias("account_active"))
     return (
-        t.daily_loan_trx.filter("loan_paid > 0 AND trx_type = 21")
-        .join(_run(t).select("office_id"), "office_id", "left_semi")
-        .groupBy("office_id", "member_id")
-        .agg(F.sum("loan_paid").alias("loan_paid"))
-        .join(deceased, ["office_id", "member_id"])
-        .groupBy("office_id")
-        .agg(F.sum(F.col("loan_paid") * F.col("entries")).alias("amount"))
+        totals.join(_table(t, list(R.NAMED_RULES), layout), "rule")
+        .join(_entries(t).select("indicator", "entry_type", "acc_code"), ["indicator", "entry_type"])
+        .join(chart, "acc_code")
+        .filter(~F.col("must_be_active") | (F.col("account_active") == 1))
+        .withColumn("voucher_category", F.lit(None).cast("string"))
+        .select(*LINE_COLUMNS)
     )
 
 
-def _lines_outside_table(t: Tables, amounts: DataFrame) -> DataFrame:
-    def placed(df: DataFrame, indicator: str, **lookup) -> DataFrame:
-        return df.withColumn("indicator", F.lit(indicator)).join(_named_account(t, indicator, **lookup), "indicator")
-
-    amount = F.col("amount")
-    rule, batch, gate, narration = R.MISC
-    frames = [_fixed_lines(_misc_rows(t), rule, batch, gate, amount, "Cr", narration)]
-
-    members = _joined_members(t, anywhere=True)
-    for rule, batch, gate, indicator, fee, narration in R.MEMBER_FEES:
-        value = F.col(fee).cast(WHOLE) if fee == "loan_form_fee" else F.col(fee)
-        fees = members.groupBy("office_id").agg(F.sum(F.col("members") * value).alias("amount"))
-        frames.append(_fixed_lines(placed(fees, indicator, active=True), rule, batch, gate, amount, "Cr", narration))
-
-    funds = _risk_funds(t, amounts)
-    share = F.round(F.col("fund") * F.lit(Decimal("0.7")), 0)
-    for (rule, batch, gate, indicator), part in zip(R.RISK_FUND, (share, F.col("fund") - share)):
-        frames.append(
-            _fixed_lines(placed(funds, indicator), rule, batch, gate, part, "Cr", R.RISK_FUND_NARRATION)
-        )
-
-    rule, batch, gate, narration = R.PARTIAL_INTEREST
-    partial = _partial_interest(t, amounts, ["office_id", "acc_id"])
-    frames.append(_fixed_lines(partial, rule, batch, gate, amount, "Cr", narration))
+def _fixed_lines(df: DataFrame, rule: str, batch: int, gate: str, narration: str) -> DataFrame:
+    return df.select(
+        "office_id",
+        F.lit(rule).alias("rule"),
+        F.lit(batch).alias("batch"),
+        F.lit(gate).alias("gate"),
+        F.lit(None).cast("string").alias("voucher_category"),
+        "acc_id",
+        "amount",
+        F.lit("Cr").alias("side"),
+        F.lit(narration).alias("narration"),
+    )
 
-    rule, batch, gate, indicator, narration = R.WRITE_OFF_RESERVE
-    written_off = placed(_written_off(t, amounts), indicator)
-    frames.append(_fixed_lines(written_off, rule, batch, gate, amount, "anti", narration))
 
-    rule, batch, gate, indicator, narration = R.RISK_FUND_ADJUSTMENT
-    adjusted = placed(_risk_fund_payments(t), indicator, entry="Dr")
-    frames.append(_fixed_lines(adjusted, rule, batch, gate, amount, "Dr", narration))
-    return _union(frames)
+def _lines_outside_table(t: Tables, amounts: DataFrame) -> DataFrame:
+    return _union(
+        [
+            _fixed_lines(_misc_rows(t, amounts), *R.MISC),
+            _fixed_lines(_partial_interest(t, amounts, ["office_id", "acc_id"]), *R.PARTIAL_INTEREST),
+            _named_lines(t, amounts),
+        ]
+    )
 
 
 # ---------------------------------------------------------------- gates
@@ -375,16 +419,14 @@ def _opened(df: DataFrame, gate: str) -> DataFrame:
 
 def rule_gate_hits(t: Tables, amounts: DataFrame) -> DataFrame:
     """(office, gate) for every open gate that guards a rule."""
-    fund = amounts.filter("source = 'fund' AND amount_name = 'loans'")
+    by_row = _table(t, list(R.ROW_GATES), "source string, gate string")
     return _union(
         [
             _table_gate_hits(t, amounts),
-            _opened(_misc_rows(t), "H04"),
-            _opened(_joined_members(t, anywhere=False), "H05"),
-            _opened(fund, "H06"),
+            amounts.join(by_row, "source").select("office_id", "gate").distinct(),
+            _opened(_misc_rows(t, amounts), "H04"),
             _opened(_partial_interest(t, amounts, ["office_id"]), "H08"),
             _opened(_written_off(t, amounts), "H19"),
-            _opened(_risk_fund_payments(t), "H26"),
         ]
     )
 
@@ -395,11 +437,11 @@ def day_initial_offices(t: Tables) -> DataFrame:
     return rows.filter(F.col("initial_date") == F.col("run_date")).select("office_id").distinct()
 
 
-def voucher_gates(t: Tables) -> DataFrame:
+def voucher_gates(t: Tables, amounts: DataFrame) -> DataFrame:
     """All gates as 0/1 columns, one row per office of the run."""
     hits = _union(
         [
-            rule_gate_hits(t, day_amounts(t)),
+            rule_gate_hits(t, amounts),
             _opened(day_initial_offices(t), "H01"),
             _opened(with_run(t.acc_trx_master, t), "H02"),
             _opened(movement_offices(t), "H03"),
@@ -414,9 +456,8 @@ def voucher_gates(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- postings and vouchers
 
 
-def voucher_postings(t: Tables) -> DataFrame:
+def voucher_postings(t: Tables, amounts: DataFrame) -> DataFrame:
     """Every voucher line of the day: office, rule, batch, account, credit, debit, narration."""
-    amounts = day_amounts(t)
     lines = _table_rule_lines(t, amounts).unionByName(_lines_outside_table(t, amounts))
     open_lines = lines.join(rule_gate_hits(t, amounts), ["office_id", "gate"], "left_semi")
     amount, side = F.col("amount"), F.col("side")
@@ -490,17 +531,17 @@ def voucher_numbers(t: Tables) -> DataFrame:
     )
 
 
-def _keyed_lines(t: Tables) -> DataFrame:
+def _keyed_lines(t: Tables, postings: DataFrame) -> DataFrame:
     """Postings with their voucher key: office, date and batch."""
     key = F.concat_ws("-", "office_id", F.date_format("run_date", "yyyyMMdd"), "batch")
-    return voucher_postings(t).join(_run(t), "office_id").withColumn("voucher_key", key)
+    return postings.join(_run(t), "office_id").withColumn("voucher_key", key)
 
 
-def voucher_masters(t: Tables) -> DataFrame:
+def voucher_masters(t: Tables, postings: DataFrame) -> DataFrame:
     """One cash voucher per office and batch with lines; later batches number with the run year and their batch."""
-    heads = _keyed_lines(t).select("voucher_key", "office_id", "run_org", "run_date", "batch").distinct()
-    first = heads.groupBy("office_id").agg(F.min("batch").alias("first_batch"))
-    numbered = heads.join(first, "office_id").join(voucher_numbers(t), "office_id", "left")
+    heads = _keyed_lines(t, postings).select("voucher_key", "office_id", "run_org", "run_date", "batch").distinct()
+    first_batch = F.min("batch").over(Window.partitionBy("office_id"))
+    numbered = heads.join(voucher_numbers(t), "office_id", "left").withColumn("first_batch", first_batch)
     base = F.when(F.col("batch") == F.col("first_batch"), F.col("voucher_no")).otherwise(
         voucher_with_last_year(F.col("voucher_no"), F.year("run_date"))
     )
@@ -516,6 +557,6 @@ def voucher_masters(t: Tables) -> DataFrame:
     )
 
 
-def voucher_details(t: Tables) -> DataFrame:
+def voucher_details(t: Tables, postings: DataFrame) -> DataFrame:
     """Voucher lines with the key of their voucher."""
-    return _keyed_lines(t).select("voucher_key", "rule", "acc_id", "credit", "debit", "narration")
+    return _keyed_lines(t, postings).select("voucher_key", "rule", "acc_id", "credit", "debit", "narration")

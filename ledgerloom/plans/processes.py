@@ -132,8 +132,10 @@ def auto_voucher(t: Tables, enforce: bool = True) -> Outcome:
     t = adjust(t, stage, "adjust")
     numbers = vouchers.voucher_numbers(t)
     t = vouchers.void_previous(t)
-    masters = stage.save("masters", vouchers.voucher_masters(t))
-    details = stage.save("details", vouchers.voucher_details(t))
+    amounts = stage.save("amounts", vouchers.day_amounts(t))
+    postings = stage.save("postings", vouchers.voucher_postings(t, amounts))
+    masters = vouchers.voucher_masters(t.replace(acc_trx_master=stage.save("voided", t.acc_trx_master)), postings)
+    details = vouchers.voucher_details(t, postings)
     number = numbers.select("office_id", F.col("voucher_no").alias("picked"))
     last = t.acc_last_voucher.join(number, "office_id", "full")
     last = last.select("office_id", F.coalesce("picked", "voucher_no").alias("voucher_no"))
@@ -187,8 +189,9 @@ def day_end(t: Tables, enforce: bool = True) -> Outcome:
     )
     t = t.replace(saving_summary=eod.stamp_saving_date(t))
     t = _saved(t, stage, "stamped", "saving_summary", "process_info")
-    closed = stage.save("closed-accounts", accounts.close_accounts(t))
-    released = accounts.release_members(t, closed)
+    closable = stage.save("closable", accounts.closable_accounts(t))
+    closed = stage.save("closed-accounts", accounts.close_accounts(t, closable))
+    released = accounts.release_members(t, closable, closed)
     t = t.replace(saving_summary=closed, members=released)
     t = _saved(eod.clear_day(t), stage, "released", "members")
     for step in (eod.close_dropped_member_savings, eod.close_empty_savings, eod.close_no_loan_savings):

@@ -124,7 +124,7 @@ FIXTURE_SQL: dict[str, str] = {
     "daily_saving_trx": """
         SELECT o.o_orderkey+1 daily_saving_trx_id, s.saving_summary_id, s.organization_id, s.office_id, s.member_id,
         s.product_id, s.center_id, s.no_of_account, DATE '2001-07-16' transaction_date, s.saving_installment due_saving_installment,
-        CAST(CASE WHEN o.o_orderkey%3=0 THEN 0 ELSE 10*(o.o_orderkey%12) END AS DECIMAL(18,2)) saving_installment,
+        CAST(CASE WHEN o.o_orderkey%5=0 THEN 0 ELSE 10*(o.o_orderkey%12) END AS DECIMAL(18,2)) saving_installment,
         s.deposit, CAST(CASE WHEN o.o_orderkey%4=0 THEN 5*(o.o_orderkey%9) ELSE 0 END AS DECIMAL(18,2)) withdrawal,
         s.deposit+s.cum_interest-s.withdrawal balance, CAST(CASE WHEN o.o_orderkey%20=0 THEN 2 ELSE 0 END AS DECIMAL(18,2))
         penalty, CASE CAST(o.o_orderkey%9 AS INT) WHEN 0 THEN 10 WHEN 1 THEN 20 WHEN 2 THEN 41 WHEN 3 THEN 22

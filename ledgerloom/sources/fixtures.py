@@ -24,13 +24,16 @@ def derived_tables(spark: SparkSession, sf_dir: str) -> Tables:
     if key in _opened:
         return _opened[key]
     stage = Stage(spark, "tables")
+    staged: dict[str, DataFrame] = {}
 
     def open_one(name: str) -> DataFrame:
         if name in SUPPLIED:
             return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        text = FIXTURE_SQL[name]
-        inputs = {source: getattr(tables, source) for source in sources_of(text)}
-        return stage.save(name, conform(spark.sql(with_placeholders(text), **inputs), name))
+        if name not in staged:
+            text = FIXTURE_SQL[name]
+            inputs = {source: open_one(source) for source in sources_of(text)}
+            staged[name] = stage.save(name, conform(spark.sql(with_placeholders(text), **inputs), name))
+        return staged[name]
 
     tables = Tables(open_one)
     _opened[key] = tables

@@ -36,5 +36,5 @@ class Stage:
 
     def save(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.path}/{name}"
-        df.write.parquet(path)
+        df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
