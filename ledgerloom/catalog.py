@@ -187,12 +187,12 @@ def _staged(t: Tables, name: str, df: DataFrame) -> DataFrame:
     return Stage(t.run_control.sparkSession, "query").save(name, df)
 
 
-def _postings(t: Tables) -> DataFrame:
-    return vouchers.voucher_postings(t, _staged(t, "amounts", vouchers.day_amounts(t)))
+def _postings(t: Tables, only: frozenset[str] = vouchers.ALL_RULES) -> DataFrame:
+    return vouchers.voucher_postings(t, _staged(t, "amounts", vouchers.day_amounts(t, only)), only)
 
 
 def _one_rule(rule: str) -> Query:
-    return Query(_LINE, lambda t: _postings(t).filter(F.col("rule") == rule))
+    return Query(_LINE, lambda t: _postings(t, frozenset({rule})))
 
 
 def _gates(t: Tables) -> DataFrame:

@@ -134,3 +134,17 @@ GATE_NAMES = (
     "H01", "H02", "H03", "H04", "H05", "H06", "H07L", "H07S", "H08", "H09", "H10", "H11C", "H11B", "H12", "H13",
     "H14", "H15", "H16", "H17", "H18", "H19", "H20", "H21", "H22", "H23", "H24", "H25", "H26",
 )
+
+# sources of the rules that are not a plain table entry
+OTHER_SOURCES = {
+    "P01": {"misc"},
+    "P05": {"fund"},
+    "P06": {"fund"},
+    "P09": {"any_partial"},
+    "P23": {"dlt"},
+}
+
+GATE_OF_RULE = {
+    **{r.rule: r.gate for r in RULES},
+    **{row[0]: row[2] for row in (MISC, PARTIAL_INTEREST, *NAMED_RULES)},
+}

@@ -21,6 +21,9 @@ from ledgerloom.operators import voucher_rules as R
 from ledgerloom.operators.changes import products_of, set_where, with_run
 from ledgerloom.sources.tables import Tables
 
+ALL_RULES = frozenset(R.GATE_OF_RULE)
+Wanted = frozenset[str]
+
 LINE_COLUMNS = ["office_id", "rule", "batch", "gate", "voucher_category", "acc_id", "amount", "side", "narration"]
 
 
@@ -30,6 +33,23 @@ def _run(t: Tables) -> DataFrame:
     )
 
 
+def _gates_of(only: Wanted) -> set[str]:
+    return {R.GATE_OF_RULE[rule] for rule in only}
+
+
+def _sources_of(only: Wanted) -> set[str]:
+    """Amount sources the wanted rules and their gates read."""
+    gates = _gates_of(only)
+    named = {rule: {source} for rule, source, _ in R.NAMED_AMOUNTS}
+    named |= {rule: sources for rule, sources in R.OTHER_SOURCES.items()}
+    return (
+        {r.source for r in R.RULES if r.rule in only}
+        | {g.source for g in R.GATES if g.gate in gates}
+        | {source for source, gate in R.ROW_GATES if gate in gates}
+        | {source for rule in only for source in named.get(rule, set())}
+    )
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -175,22 +195,24 @@ def _without_type(df: DataFrame) -> DataFrame:
     return df.withColumns({"type": nothing, "bank_name": nothing})
 
 
-def day_amounts(t: Tables) -> DataFrame:
-    """Everything the rules and gates sum, from one pass over each source table.
+_READERS = {
+    "daily_loan_trx": (_loan_amounts, {"dlt"}),
+    "daily_saving_trx": (_saving_amounts, {"dst"}),
+    "loan_summary": (_disbursement_amounts, {"full", "partial", "type_one", "adjusted", "fund", "any_partial"}),
+    "miscellaneous": (_misc_amounts, {"misc"}),
+    "members": (_member_amounts, {"joined", "joined_here"}),
+    "expire_infos": (_deceased_amounts, {"deceased"}),
+}
+
+
+def day_amounts(t: Tables, only: Wanted = ALL_RULES) -> DataFrame:
+    """Everything the wanted rules and their gates sum, from one pass over each source table.
 
     Its size is set by offices, products and transaction types, so a caller writes it once and evaluates every rule
     and gate on the written copy.
     """
-    return _union(
-        [
-            _loan_amounts(t),
-            _saving_amounts(t),
-            _disbursement_amounts(t),
-            _misc_amounts(t),
-            _member_amounts(t),
-            _deceased_amounts(t),
-        ]
-    )
+    sources = _sources_of(only)
+    return _union([read(t) for read, provided in _READERS.values() if provided & sources])
 
 
 # ---------------------------------------------------------------- rule and gate evaluation
@@ -224,7 +246,7 @@ def _matched(t: Tables, amounts: DataFrame, table: DataFrame) -> DataFrame:
     )
 
 
-def _table_rule_lines(t: Tables, amounts: DataFrame) -> DataFrame:
+def _table_rule_lines(t: Tables, amounts: DataFrame, rules: list[R.Rule]) -> DataFrame:
     layout = (
         "rule string, batch int, source string, type string, product_type int, indicator string, "
         "voucher_type string, amount_name string, side string, gate string, narration string, by_bank boolean, "
@@ -233,7 +255,7 @@ def _table_rule_lines(t: Tables, amounts: DataFrame) -> DataFrame:
     rows = [
         (r.rule, r.batch, r.source, str(kind), product, r.indicator, r.voucher_type, r.amount, r.side, r.gate,
          r.narration, r.by_bank, r.active_account)
-        for r in R.RULES
+        for r in rules
         for kind in r.types
         for product in r.product_types
     ]
@@ -261,14 +283,14 @@ def _table_rule_lines(t: Tables, amounts: DataFrame) -> DataFrame:
     )
 
 
-def _table_gate_hits(t: Tables, amounts: DataFrame) -> DataFrame:
+def _table_gate_hits(t: Tables, amounts: DataFrame, gates: list[R.Gate]) -> DataFrame:
     layout = (
         "gate string, source string, type string, product_type int, indicator string, voucher_type string, "
         "amount_name string, by_bank boolean"
     )
     rows = [
         (g.gate, g.source, str(kind), product, g.indicator, g.voucher_type, g.amount, g.by_bank)
-        for g in R.GATES
+        for g in gates
         for kind in g.types
         for product in g.product_types
     ]
@@ -341,23 +363,26 @@ def _risk_funds(t: Tables, amounts: DataFrame) -> DataFrame:
     )
 
 
-def _named_lines(t: Tables, amounts: DataFrame) -> DataFrame:
+def _named_lines(t: Tables, amounts: DataFrame, only: Wanted) -> DataFrame:
     """Lines on the accounts of indicators that belong to no product."""
     layout = (
         "rule string, batch int, gate string, indicator string, entry_type string, must_be_active boolean, "
         "side string, narration string"
     )
-    direct = _table(t, list(R.NAMED_AMOUNTS), "rule string, source string, amount_name string")
-    totals = _union(
-        [
-            amounts.join(direct, ["source", "amount_name"]).select("office_id", "rule", "amount"),
-            _risk_funds(t, amounts).select("office_id", "rule", "amount"),
-            _written_off(t, amounts).select("office_id", F.lit("P23").alias("rule"), "amount"),
-        ]
-    )
+    totals = []
+    direct = [row for row in R.NAMED_AMOUNTS if row[0] in only]
+    if direct:
+        table = _table(t, direct, "rule string, source string, amount_name string")
+        totals.append(amounts.join(table, ["source", "amount_name"]).select("office_id", "rule", "amount"))
+    if only & {"P05", "P06"}:
+        totals.append(_risk_funds(t, amounts).select("office_id", "rule", "amount"))
+    if "P23" in only:
+        totals.append(_written_off(t, amounts).select("office_id", F.lit("P23").alias("rule"), "amount"))
+    rules = [row for row in R.NAMED_RULES if row[0] in only]
     chart = t.acc_chart.select("acc_code", "acc_id", F.col("is_active").alias("account_active"))
     return (
-        totals.join(_table(t, list(R.NAMED_RULES), layout), "rule")
+        _union(totals)
+        .join(_table(t, rules, layout), "rule")
         .join(_entries(t).select("indicator", "entry_type", "acc_code"), ["indicator", "entry_type"])
         .join(chart, "acc_code")
         .filter(~F.col("must_be_active") | (F.col("account_active") == 1))
@@ -380,14 +405,20 @@ def _fixed_lines(df: DataFrame, rule: str, batch: int, gate: str, narration: str
     )
 
 
-def _lines_outside_table(t: Tables, amounts: DataFrame) -> DataFrame:
-    return _union(
-        [
-            _fixed_lines(_misc_rows(t, amounts), *R.MISC),
-            _fixed_lines(_partial_interest(t, amounts, ["office_id", "acc_id"]), *R.PARTIAL_INTEREST),
-            _named_lines(t, amounts),
-        ]
-    )
+def _lines(t: Tables, amounts: DataFrame, only: Wanted) -> DataFrame:
+    """Lines of the wanted rules, before their gates."""
+    frames = []
+    in_table = [r for r in R.RULES if r.rule in only]
+    if in_table:
+        frames.append(_table_rule_lines(t, amounts, in_table))
+    if "P01" in only:
+        frames.append(_fixed_lines(_misc_rows(t, amounts), *R.MISC))
+    if "P09" in only:
+        partial = _partial_interest(t, amounts, ["office_id", "acc_id"])
+        frames.append(_fixed_lines(partial, *R.PARTIAL_INTEREST))
+    if only & {row[0] for row in R.NAMED_RULES}:
+        frames.append(_named_lines(t, amounts, only))
+    return _union(frames)
 
 
 # ---------------------------------------------------------------- gates
@@ -417,18 +448,23 @@ def _opened(df: DataFrame, gate: str) -> DataFrame:
     return df.select("office_id", F.lit(gate).alias("gate")).distinct()
 
 
-def rule_gate_hits(t: Tables, amounts: DataFrame) -> DataFrame:
-    """(office, gate) for every open gate that guards a rule."""
-    by_row = _table(t, list(R.ROW_GATES), "source string, gate string")
-    return _union(
-        [
-            _table_gate_hits(t, amounts),
-            amounts.join(by_row, "source").select("office_id", "gate").distinct(),
-            _opened(_misc_rows(t, amounts), "H04"),
-            _opened(_partial_interest(t, amounts, ["office_id"]), "H08"),
-            _opened(_written_off(t, amounts), "H19"),
-        ]
-    )
+def rule_gate_hits(t: Tables, amounts: DataFrame, gates: set[str]) -> DataFrame:
+    """(office, gate) for each of the given gates that is open."""
+    frames = []
+    in_table = [g for g in R.GATES if g.gate in gates]
+    if in_table:
+        frames.append(_table_gate_hits(t, amounts, in_table))
+    by_row = [row for row in R.ROW_GATES if row[1] in gates]
+    if by_row:
+        table = _table(t, by_row, "source string, gate string")
+        frames.append(amounts.join(table, "source").select("office_id", "gate").distinct())
+    if "H04" in gates:
+        frames.append(_opened(_misc_rows(t, amounts), "H04"))
+    if "H08" in gates:
+        frames.append(_opened(_partial_interest(t, amounts, ["office_id"]), "H08"))
+    if "H19" in gates:
+        frames.append(_opened(_written_off(t, amounts), "H19"))
+    return _union(frames)
 
 
 def day_initial_offices(t: Tables) -> DataFrame:
@@ -441,7 +477,7 @@ def voucher_gates(t: Tables, amounts: DataFrame) -> DataFrame:
     """All gates as 0/1 columns, one row per office of the run."""
     hits = _union(
         [
-            rule_gate_hits(t, amounts),
+            rule_gate_hits(t, amounts, set(R.GATE_NAMES)),
             _opened(day_initial_offices(t), "H01"),
             _opened(with_run(t.acc_trx_master, t), "H02"),
             _opened(movement_offices(t), "H03"),
@@ -456,10 +492,13 @@ def voucher_gates(t: Tables, amounts: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- postings and vouchers
 
 
-def voucher_postings(t: Tables, amounts: DataFrame) -> DataFrame:
-    """Every voucher line of the day: office, rule, batch, account, credit, debit, narration."""
-    lines = _table_rule_lines(t, amounts).unionByName(_lines_outside_table(t, amounts))
-    open_lines = lines.join(rule_gate_hits(t, amounts), ["office_id", "gate"], "left_semi")
+def voucher_postings(t: Tables, amounts: DataFrame, only: Wanted = ALL_RULES) -> DataFrame:
+    """The day's voucher lines: office, rule, batch, account, credit, debit, narration.
+
+    ``amounts`` is the result of :func:`day_amounts` for the same rules.
+    """
+    gates = rule_gate_hits(t, amounts, _gates_of(only))
+    open_lines = _lines(t, amounts, only).join(gates, ["office_id", "gate"], "left_semi")
     amount, side = F.col("amount"), F.col("side")
     credit = (
         F.when(side == "Cr", amount)
