@@ -151,17 +151,35 @@ def _for_organization_5(t: Tables) -> Tables:
     )
 
 
+def _staged(t: Tables, name: str, df: DataFrame) -> DataFrame:
+    """A small result that several later branches read, written once."""
+    return Stage(t.run_control.sparkSession, "query").save(name, df)
+
+
 def _shift(position: int) -> Callable[[Tables], DataFrame]:
     def build(t: Tables) -> DataFrame:
         t = adjustments.without_adjustments(t)
-        return adjustments.shifts(t, adjustments.day_sums(t))[position]
+        sums = adjustments.day_sums(t)
+        if position == 1:
+            return adjustments.shifts(t, sums, 1)[-1]
+        sums = _staged(t, "sums", sums)
+        return adjustments.shifts(t, sums, position, lambda name, df: _staged(t, name, df))[-1]
 
     return build
 
 
+def _excess_open(t: Tables) -> DataFrame:
+    return adjustments.open_savings_for_overpaid(t, adjustments.overpaid_loans(t))
+
+
 def _excess_deposit(t: Tables) -> DataFrame:
-    opened = adjustments.open_savings_for_overpaid(t)
-    return adjustments.deposit_overpaid(t, t.saving_summary.unionByName(opened))
+    overpaid = _staged(t, "overpaid", adjustments.overpaid_loans(t))
+    opened = adjustments.open_savings_for_overpaid(t, overpaid)
+    return adjustments.deposit_overpaid(t, overpaid, t.saving_summary.unionByName(opened))
+
+
+def _excess_contra(t: Tables) -> DataFrame:
+    return adjustments.contra_overpaid(t, adjustments.overpaid_loans(t))
 
 
 def _final_due(t: Tables) -> DataFrame:
@@ -182,11 +200,6 @@ def _voided(t: Tables) -> DataFrame:
     return masters.unionByName(details)
 
 
-def _staged(t: Tables, name: str, df: DataFrame) -> DataFrame:
-    """A small result that several later branches read, written once."""
-    return Stage(t.run_control.sparkSession, "query").save(name, df)
-
-
 def _postings(t: Tables, only: frozenset[str] = vouchers.ALL_RULES) -> DataFrame:
     return vouchers.voucher_postings(t, _staged(t, "amounts", vouchers.day_amounts(t, only)), only)
 
@@ -200,7 +213,8 @@ def _gates(t: Tables) -> DataFrame:
 
 
 def _closable(t: Tables) -> DataFrame:
-    return _staged(t, "closable", accounts.closable_accounts(t))
+    candidates = _staged(t, "candidates", accounts.close_candidates(t))
+    return _staged(t, "closable", accounts.closable_accounts(t, candidates))
 
 
 def _released(t: Tables) -> DataFrame:
@@ -264,7 +278,7 @@ QUERIES: dict[str, Query] = {
     "eod_excess_open_savings": Query(
         f"{_ACCOUNT} transaction_date:d deposit:m balance:m interest_rate:m opening_date:d trans_type saving_status "
         "employee_id member_category_id",
-        adjustments.open_savings_for_overpaid,
+        _excess_open,
     ),
     "eod_excess_deposit": Query(
         f"{_ACCOUNT} transaction_date:d saving_installment:m trans_type presence_ind member_code:s member_name:s "
@@ -274,12 +288,12 @@ QUERIES: dict[str, Query] = {
     "eod_excess_contra": Query(
         "loan_summary_id office_id member_id product_id trx_date:d loan_paid:m int_paid:m trx_type installment_no "
         "member_code:s member_name:s product_code:s duration",
-        adjustments.contra_overpaid,
+        _excess_contra,
     ),
-    "eod_adj_principal_over": Query(_ADJUSTMENT, _shift(0)),
-    "eod_adj_interest_over": Query(_ADJUSTMENT, _shift(1)),
-    "eod_adj_over_loanpaid": Query(_ADJUSTMENT, _shift(2)),
-    "eod_adj_excess_interest": Query(_ADJUSTMENT, _shift(3)),
+    "eod_adj_principal_over": Query(_ADJUSTMENT, _shift(1)),
+    "eod_adj_interest_over": Query(_ADJUSTMENT, _shift(2)),
+    "eod_adj_over_loanpaid": Query(_ADJUSTMENT, _shift(3)),
+    "eod_adj_excess_interest": Query(_ADJUSTMENT, _shift(4)),
     "eod_deactivate_details": Query("trx_details_id is_active", adjustments.deactivate_details),
     # day end
     "eod_post_loan_trx": Query(_LOAN_TRX, day_end.post_loan_trx),

@@ -138,14 +138,13 @@ def _members_with_loan(t: Tables, members: DataFrame) -> DataFrame:
     )
 
 
-def closable_accounts(t: Tables) -> DataFrame:
-    """Candidates without an open member loan whose net balance after today's rows is not positive.
+def closable_accounts(t: Tables, candidates: DataFrame) -> DataFrame:
+    """Those of :func:`close_candidates` without an open member loan whose net balance after today's rows is not positive.
 
     ``compulsory`` marks products whose main code starts with 21; ``summed_ok`` is the net test over all rows that
     share the account keys.
     """
     keys = ["organization_id", *ACCOUNT_KEYS]
-    candidates = close_candidates(t)
     day = (
         t.daily_saving_trx.join(candidates, keys, "left_semi")
         .groupBy(*keys)

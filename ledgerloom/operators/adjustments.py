@@ -6,6 +6,8 @@ sums plus the few rows added by the rules before it, so the raw rows are read on
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -252,19 +254,28 @@ def excess_interest(t: Tables, sums: DataFrame, *earlier: DataFrame) -> DataFram
     return _adjustment_rows(rows, F.round(moved, 0), F.round(-moved, 0), trx_date=F.col("installment_date"))
 
 
-def shifts(t: Tables, sums: DataFrame) -> list[DataFrame]:
-    """The four rules in order, each seeing the rows added before it."""
-    first = principal_over(t, sums)
-    second = interest_over(t, sums, first)
-    third = over_loan_paid(t, sums, first, second)
-    fourth = excess_interest(t, sums, first, second, third)
-    return [first, second, third, fourth]
+def shifts(
+    t: Tables,
+    sums: DataFrame,
+    upto: int = 4,
+    keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
+) -> list[DataFrame]:
+    """The first ``upto`` of the four rules in order, each seeing the rows added before it.
+
+    ``keep`` may write a rule's few rows and read them back, so later rules do not evaluate it again.
+    """
+    rules = (principal_over, interest_over, over_loan_paid, excess_interest)
+    added: list[DataFrame] = []
+    for position, rule in enumerate(rules[:upto], start=1):
+        rows = rule(t, sums, *added)
+        added.append(rows if position == upto else keep(f"shift-{position}", rows))
+    return added
 
 
 # ---------------------------------------------------------------- overpayment to savings
 
 
-def _overpaid(t: Tables) -> DataFrame:
+def overpaid_loans(t: Tables) -> DataFrame:
     """Loans overpaid by at least 1.00, with the (negative) amount outstanding."""
     organization = t.run_control.filter(F.col("organization_id") == EXCESS_TO_SAVINGS_ORGANIZATION)
     run = organization.select("office_id", F.col("business_date").alias("run_date"))
@@ -295,7 +306,7 @@ def _compulsory_accounts(t: Tables, saving_summary: DataFrame) -> DataFrame:
     return saving_summary.filter("is_active = 1 AND saving_status = 1").join(compulsory, "product_id")
 
 
-def open_savings_for_overpaid(t: Tables) -> DataFrame:
+def open_savings_for_overpaid(t: Tables, overpaid: DataFrame) -> DataFrame:
     """A savings account (number 2) per overpaid loan whose member has no active compulsory savings.
 
     The new account's key is the negated loan key: unique, and apart from existing keys.
@@ -308,7 +319,7 @@ def open_savings_for_overpaid(t: Tables) -> DataFrame:
         "member_category_id", F.col("category_short_name_bng").alias("product_code")
     )
     held = _compulsory_accounts(t, t.saving_summary).select("office_id", "member_id").distinct()
-    loans = _overpaid(t).select("loan_summary_id", "office_id", "member_id", "employee_id", "run_date")
+    loans = overpaid.select("loan_summary_id", "office_id", "member_id", "employee_id", "run_date")
     rows = (
         loans.join(held, ["office_id", "member_id"], "left_anti")
         .join(members, ["office_id", "member_id"])
@@ -335,14 +346,14 @@ def open_savings_for_overpaid(t: Tables) -> DataFrame:
     return rows.select(*columns)
 
 
-def deposit_overpaid(t: Tables, saving_summary: DataFrame) -> DataFrame:
+def deposit_overpaid(t: Tables, overpaid: DataFrame, saving_summary: DataFrame) -> DataFrame:
     """A deposit of the overpaid amount into every active compulsory account of the member.
 
     ``saving_summary`` already holds the accounts opened for overpaid loans.
     """
     members = t.members.select("office_id", "member_id", "member_code", joined_name("").alias("full_name"))
     accounts = _compulsory_accounts(t, saving_summary)
-    loans = _overpaid(t).select("office_id", "member_id", "amount", "run_date", "loan_summary_id")
+    loans = overpaid.select("office_id", "member_id", "amount", "run_date", "loan_summary_id")
     rows = loans.join(members, ["office_id", "member_id"]).join(accounts, ["office_id", "member_id"])
     return rows.select(
         "saving_summary_id",
@@ -371,12 +382,12 @@ def deposit_overpaid(t: Tables, saving_summary: DataFrame) -> DataFrame:
     )
 
 
-def contra_overpaid(t: Tables) -> DataFrame:
+def contra_overpaid(t: Tables, overpaid: DataFrame) -> DataFrame:
     """The loan-side contra row: the negative amount as interest paid."""
     members = t.members.select("office_id", "member_id", "member_code", joined_name("").alias("full_name"))
     products = products_of(t, "product_code", "product_name", "interest_calculation_method")
     zeros = ("principal_loan", "loan_repaid", "loan_due", "loan_paid", "cum_int_charge", "int_charge", "int_due")
-    rows = _overpaid(t).join(members, ["office_id", "member_id"]).join(products, "product_id")
+    rows = overpaid.join(members, ["office_id", "member_id"]).join(products, "product_id")
     return rows.select(
         F.col("run_date").alias("trx_date"),
         "loan_summary_id",

@@ -123,9 +123,26 @@ def static_balance(t: Tables, moved: DataFrame) -> DataFrame:
 
 
 def month_balances(t: Tables) -> DataFrame:
-    """Minimum balances of moved accounts and static balances of the others."""
-    moved = min_balance(t)
-    return moved.unionByName(static_balance(t, moved))
+    """Minimum balances of moved accounts and static balances of the others, in one outer join."""
+    moved = min_balance(t).select(
+        *ACCOUNT,
+        F.col("organization_id").alias("m_organization"),
+        F.col("transaction_date").alias("m_date"),
+        F.col("balance").alias("m_balance"),
+    )
+    rows = with_run(t.saving_summary.filter("saving_status = 1"), t).select(
+        *ACCOUNT,
+        "organization_id",
+        _month_start().alias("month_start"),
+        money(F.col("deposit") - F.col("withdrawal")).alias("static"),
+    )
+    found = F.col("m_date").isNotNull()
+    return rows.join(moved, ACCOUNT, "full").select(
+        *ACCOUNT,
+        F.coalesce("m_organization", "organization_id").alias("organization_id"),
+        F.when(found, F.col("m_date")).otherwise(F.col("month_start")).alias("transaction_date"),
+        F.when(found, F.col("m_balance")).otherwise(F.col("static")).alias("balance"),
+    )
 
 
 def new_after_7(t: Tables) -> DataFrame:
@@ -160,9 +177,11 @@ def new_in_7(t: Tables) -> DataFrame:
 
 
 def apply_new_in_7(t: Tables, balances: DataFrame) -> DataFrame:
-    """Balances and dates of those accounts overwritten by their opening transaction (the largest, if several)."""
-    fresh = new_in_7(t).join(balances.select(*ACCOUNT).distinct(), ACCOUNT, "left_semi")
-    fresh = fresh.groupBy(*ACCOUNT_KEYS).agg(
+    """Balances and dates of those accounts overwritten by their opening transaction (the largest, if several).
+
+    ``balances`` holds every open account, so each of those accounts has a row in it.
+    """
+    fresh = new_in_7(t).groupBy(*ACCOUNT_KEYS).agg(
         F.max("balance").alias("new_balance"), F.max("transaction_date").alias("new_date")
     )
     rows = balances.join(fresh, ACCOUNT_KEYS, "left")

@@ -81,23 +81,17 @@ def adjust(t: Tables, stage: Stage, step: str) -> Tables:
     t = t.replace(daily_loan_trx=adjustments.dedupe_charges(t))
     t = adjustments.without_adjustments(t)
     t = _saved(t, stage, f"{step}/deduped", "daily_loan_trx")
-    shifts = [
-        stage.save(f"{step}/shift-{n}", rows) for n, rows in enumerate(_shifts_in_turn(t, stage, step))
-    ]
+    sums = stage.save(f"{step}/sums", adjustments.day_sums(t))
     loans = t.daily_loan_trx
-    for rows in shifts:
+    for rows in adjustments.shifts(t, sums, keep=lambda name, df: stage.save(f"{step}/{name}", df)):
         loans = loans.unionByName(rows, allowMissingColumns=True)
     t = t.replace(daily_loan_trx=loans)
-    t = _move_excess(t)
+    t = _move_excess(t, stage, step)
     t = t.replace(acc_trx_detail=adjustments.deactivate_details(t))
     return _saved(t, stage, f"{step}/adjusted", "daily_loan_trx", "daily_saving_trx", "saving_summary")
 
 
-def _shifts_in_turn(t: Tables, stage: Stage, step: str) -> list[DataFrame]:
-    return adjustments.shifts(t, stage.save(f"{step}/sums", adjustments.day_sums(t)))
-
-
-def _move_excess(t: Tables) -> Tables:
+def _move_excess(t: Tables, stage: Stage, step: str) -> Tables:
     """Overpaid amounts of one organization's loans move to compulsory savings; earlier moves are replaced."""
     offices = t.run_control.filter(F.col("organization_id") == adjustments.EXCESS_TO_SAVINGS_ORGANIZATION)
     offices = offices.select("office_id", F.lit(1).alias("moves"))
@@ -110,13 +104,14 @@ def _move_excess(t: Tables) -> Tables:
         daily_saving_trx=without_moves(t.daily_saving_trx, "trans_type"),
         daily_loan_trx=without_moves(t.daily_loan_trx, "trx_type"),
     )
-    savings = t.saving_summary.unionByName(adjustments.open_savings_for_overpaid(t))
+    overpaid = stage.save(f"{step}/overpaid", adjustments.overpaid_loans(t))
+    savings = t.saving_summary.unionByName(adjustments.open_savings_for_overpaid(t, overpaid))
     return t.replace(
         saving_summary=savings,
         daily_saving_trx=t.daily_saving_trx.unionByName(
-            adjustments.deposit_overpaid(t, savings), allowMissingColumns=True
+            adjustments.deposit_overpaid(t, overpaid, savings), allowMissingColumns=True
         ),
-        daily_loan_trx=t.daily_loan_trx.unionByName(adjustments.contra_overpaid(t), allowMissingColumns=True),
+        daily_loan_trx=t.daily_loan_trx.unionByName(adjustments.contra_overpaid(t, overpaid), allowMissingColumns=True),
     )
 
 
@@ -189,7 +184,8 @@ def day_end(t: Tables, enforce: bool = True) -> Outcome:
     )
     t = t.replace(saving_summary=eod.stamp_saving_date(t))
     t = _saved(t, stage, "stamped", "saving_summary", "process_info")
-    closable = stage.save("closable", accounts.closable_accounts(t))
+    candidates = stage.save("candidates", accounts.close_candidates(t))
+    closable = stage.save("closable", accounts.closable_accounts(t, candidates))
     closed = stage.save("closed-accounts", accounts.close_accounts(t, closable))
     released = accounts.release_members(t, closable, closed)
     t = t.replace(saving_summary=closed, members=released)
