@@ -84,6 +84,9 @@ NAMED_AMOUNTS = (
     ("P32", "deceased", "transfers"),
 )
 
+# the rule on loan transactions of one type, as rule, type
+NAMED_TYPE = ("P23", "71")
+
 # fixed values: rules whose two disbursement kinds form one line, organizations without rebate vouchers
 DISBURSEMENT_RULES = ("P12", "P17", "P18")
 NO_REBATE_ORGANIZATIONS = (5, 54)

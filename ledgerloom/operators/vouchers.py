@@ -315,7 +315,7 @@ def _written_off(t: Tables, amounts: DataFrame) -> DataFrame:
     return (
         amounts.filter("source = 'dlt' AND type = '71' AND amount_name = 'loan_paid'")
         .join(main_loans, "product_id", "left_semi")
-        .groupBy("office_id")
+        .groupBy("office_id", "type")
         .agg(F.sum("amount").alias("amount"))
         .filter("amount <> 0")
     )
@@ -377,7 +377,8 @@ def _named_lines(t: Tables, amounts: DataFrame, only: Wanted) -> DataFrame:
     if only & {"P05", "P06"}:
         totals.append(_risk_funds(t, amounts).select("office_id", "rule", "amount"))
     if "P23" in only:
-        totals.append(_written_off(t, amounts).select("office_id", F.lit("P23").alias("rule"), "amount"))
+        table = _table(t, [R.NAMED_TYPE], "rule string, type string")
+        totals.append(_written_off(t, amounts).join(table, "type").select("office_id", "rule", "amount"))
     rules = [row for row in R.NAMED_RULES if row[0] in only]
     chart = t.acc_chart.select("acc_code", "acc_id", F.col("is_active").alias("account_active"))
     return (
