@@ -10,11 +10,11 @@ import re
 
 from ledgerloom.catalog import QUERIES
 from ledgerloom.sources.fixture_sql import FIXTURE_SQL
-from oracle import day_end_sql, month_sql, start_sql, voucher_sql
+from oracle import day_end_sql, month_sql, process_sql, start_sql, voucher_sql
 
 _SOURCE = re.compile(r"\b(?:FROM|JOIN)\s+([a-z_0-9]+)\b")
-_PARTS = {**FIXTURE_SQL, **start_sql.PARTS, **day_end_sql.PARTS, **voucher_sql.PARTS, **month_sql.PARTS}
-_TEXTS = {**start_sql.TEXTS, **day_end_sql.TEXTS, **voucher_sql.TEXTS, **month_sql.TEXTS}
+_PARTS = {**FIXTURE_SQL, **start_sql.PARTS, **day_end_sql.PARTS, **voucher_sql.PARTS, **month_sql.PARTS, **process_sql.PARTS}
+_TEXTS = {**start_sql.TEXTS, **day_end_sql.TEXTS, **voucher_sql.TEXTS, **month_sql.TEXTS, **process_sql.TEXTS}
 
 
 def _needed(sql: str, found: dict[str, str]) -> None:
