@@ -163,7 +163,11 @@ def _shift(position: int) -> Callable[[Tables], DataFrame]:
         if position == 1:
             return adjustments.shifts(t, sums, 1)[-1]
         sums = _staged(t, "sums", sums)
-        return adjustments.shifts(t, sums, position, lambda name, df: _staged(t, name, df))[-1]
+
+        def keep(name: str, df: DataFrame) -> DataFrame:
+            return df if name == f"shift-{position}" else _staged(t, name, df)
+
+        return adjustments.shifts(t, sums, position, keep)[-1]
 
     return build
 

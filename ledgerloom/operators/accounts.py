@@ -11,6 +11,7 @@ from ledgerloom.operators.changes import (
     ACCOUNT_KEYS,
     LOAN_KEYS,
     MEMBER_KEYS,
+    on_run_date,
     products_of,
     set_where,
     with_run,
@@ -22,7 +23,7 @@ def day_ledger(t: Tables) -> DataFrame:
     """Active voucher lines of the run date."""
     run = t.run_control.select("office_id", F.col("business_date").alias("run_date"))
     masters = (
-        t.acc_trx_master.filter("is_active = 1")
+        on_run_date(t.acc_trx_master.filter("is_active = 1"), t, "trx_date")
         .join(run, "office_id")
         .filter(F.col("trx_date") == F.col("run_date"))
         .select("trx_master_id", "office_id", "trx_date", "voucher_no", "voucher_type")

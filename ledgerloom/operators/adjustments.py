@@ -268,7 +268,7 @@ def shifts(
     added: list[DataFrame] = []
     for position, rule in enumerate(rules[:upto], start=1):
         rows = rule(t, sums, *added)
-        added.append(rows if position == upto else keep(f"shift-{position}", rows))
+        added.append(keep(f"shift-{position}", rows))
     return added
 
 

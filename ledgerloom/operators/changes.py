@@ -67,3 +67,19 @@ def without_run(df: DataFrame) -> DataFrame:
 def products_of(t: Tables, *columns: str) -> DataFrame:
     """Product attributes for a lookup join on ``product_id``."""
     return t.products.select("product_id", *columns)
+
+
+def within_run(df: DataFrame, t: Tables, column: str, earliest: Column, latest: Column) -> DataFrame:
+    """Narrow a history table to the dates the run can need, before any join.
+
+    The bounds are aggregates of the run control, passed as scalar subqueries: Spark evaluates them first and pushes
+    the resulting range into the scan, where partitions and row groups outside it are skipped.
+    """
+    bounds = t.run_control
+    low, high = bounds.agg(earliest).scalar(), bounds.agg(latest).scalar()
+    return df.filter((F.col(column) >= low) & (F.col(column) <= high))
+
+
+def on_run_date(df: DataFrame, t: Tables, column: str) -> DataFrame:
+    """Narrow a history table to the range of the run's business dates."""
+    return within_run(df, t, column, F.min("business_date"), F.max("business_date"))

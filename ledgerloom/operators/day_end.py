@@ -8,14 +8,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.dates import first_date, same_month
+from ledgerloom.functions.dates import first_date, last_date, same_month
 from ledgerloom.functions.money import nz, zero
 from ledgerloom.functions.text import starts_with
 from ledgerloom.operators.changes import (
     LOAN_KEYS,
+    on_run_date,
     products_of,
     set_where,
     with_run,
+    within_run,
     without_run,
 )
 from ledgerloom.sources.tables import Tables
@@ -201,8 +203,11 @@ def zero_repeat_due(t: Tables) -> DataFrame:
     """History rows of the run date; dues are zero for monthly loans already collected this month."""
     keys = ["office_id", "center_id", "member_id", "loan_term", "loan_summary_id"]
     monthly = products_of(t, "payment_frequency").filter("payment_frequency = 'M'")
+    month = within_run(
+        t.loan_trx, t, "installment_date", first_date(F.min("business_date")), last_date(F.max("business_date"))
+    )
     collected = (
-        with_run(t.loan_trx, t)
+        with_run(month, t)
         .filter(
             same_month(F.col("installment_date"), F.col("run_date"))
             & (F.col("installment_date") != F.col("run_date"))
@@ -213,7 +218,8 @@ def zero_repeat_due(t: Tables) -> DataFrame:
         .withColumn("collected", F.lit(1))
     )
     run = t.run_control.select("office_id", F.col("business_date").alias("run_date"))
-    today = t.loan_trx.join(run, "office_id").filter(F.col("installment_date") == F.col("run_date"))
+    today = on_run_date(t.loan_trx, t, "installment_date").join(run, "office_id")
+    today = today.filter(F.col("installment_date") == F.col("run_date"))
     df = today.join(collected, keys, "left")
     return set_where(df, F.col("collected") == 1, loan_due=0, int_due=0).select(*t.loan_trx.columns)
 
@@ -270,7 +276,10 @@ def resync_month_to_date(t: Tables) -> DataFrame:
     }
     run = t.run_control.select("office_id", F.col("business_date").alias("run_date"))
     month = (
-        t.loan_trx.join(run, "office_id")
+        within_run(
+            t.loan_trx, t, "installment_date", first_date(F.min("business_date")), F.max("business_date")
+        )
+        .join(run, "office_id")
         .filter(F.col("installment_date").between(first_date(F.col("run_date")), F.col("run_date")))
         .groupBy("office_id", "loan_summary_id")
         .agg(*[F.sum(source).alias(f"m_{name}") for name, source in amounts.items()])

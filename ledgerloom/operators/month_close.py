@@ -17,6 +17,7 @@ from ledgerloom.operators.changes import (
     products_of,
     set_where,
     with_run,
+    within_run,
 )
 from ledgerloom.sources.tables import Tables
 
@@ -31,7 +32,10 @@ def _month_start() -> Column:
 
 
 def _month_of_savings(t: Tables) -> DataFrame:
-    return with_run(t.saving_trx, t).filter(same_month(F.col("transaction_date"), F.col("run_month_end")))
+    rows = within_run(
+        t.saving_trx, t, "transaction_date", first_date(F.min("month_end_date")), last_date(F.max("month_end_date"))
+    )
+    return with_run(rows, t).filter(same_month(F.col("transaction_date"), F.col("run_month_end")))
 
 
 def saving_transactions(t: Tables) -> DataFrame:
@@ -238,8 +242,11 @@ def close_process(t: Tables) -> DataFrame:
 def _accruing(t: Tables) -> DataFrame:
     """All loans with the run's month and ``accrues``: running monthly loans without a transaction this month."""
     run = t.run_control.select("office_id", F.col("month_end_date").alias("run_month_end"))
+    month = within_run(
+        t.loan_trx, t, "installment_date", first_date(F.min("month_end_date")), F.max("month_end_date")
+    )
     transacted = (
-        t.loan_trx.join(run, "office_id")
+        month.join(run, "office_id")
         .filter(F.col("installment_date").between(_month_start(), F.col("run_month_end")))
         .select("office_id", "loan_summary_id")
         .distinct()
@@ -328,7 +335,8 @@ def accrual_trx(t: Tables) -> DataFrame:
 
 def _month_end_trx(t: Tables) -> DataFrame:
     run = t.run_control.select("office_id", F.col("month_end_date").alias("run_month_end"))
-    return t.loan_trx.join(run, "office_id").filter(F.col("installment_date") == F.col("run_month_end"))
+    rows = within_run(t.loan_trx, t, "installment_date", F.min("month_end_date"), F.max("month_end_date"))
+    return rows.join(run, "office_id").filter(F.col("installment_date") == F.col("run_month_end"))
 
 
 def _monthly_loans(t: Tables) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import day_diff, month_diff, same_month
 from ledgerloom.functions.money import nz
 from ledgerloom.functions.text import starts_with
+from ledgerloom.operators.changes import on_run_date
 from ledgerloom.operators.vouchers import day_initial_offices, movement_offices, voucher_numbers
 from ledgerloom.sources.tables import Tables
 
@@ -115,7 +116,7 @@ def day_end_report(t: Tables) -> DataFrame:
         _count_if(F.col("check_auto_voucher") == 1).alias("vouchers_run")
     )
     masters = (
-        t.acc_trx_master.filter("is_active = 1")
+        on_run_date(t.acc_trx_master.filter("is_active = 1"), t, "trx_date")
         .join(run, "office_id")
         .filter(F.col("trx_date") == F.col("run_date"))
         .select("trx_master_id", "office_id", "voucher_type")

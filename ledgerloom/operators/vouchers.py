@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from ledgerloom.functions.money import MONEY, RATE, WHOLE, nz
 from ledgerloom.functions.text import starts_with, voucher_with_last_year
 from ledgerloom.operators import voucher_rules as R
-from ledgerloom.operators.changes import products_of, set_where, with_run
+from ledgerloom.operators.changes import on_run_date, products_of, set_where, with_run
 from ledgerloom.sources.tables import Tables
 
 ALL_RULES = frozenset(R.GATE_OF_RULE)
@@ -130,7 +130,7 @@ def _disbursement_amounts(t: Tables) -> DataFrame:
 
 def _misc_amounts(t: Tables) -> DataFrame:
     """Active miscellaneous receipts of the run date per product."""
-    rows = t.miscellaneous.filter("is_active = 1").join(_run(t), "office_id")
+    rows = on_run_date(t.miscellaneous.filter("is_active = 1"), t, "trx_date").join(_run(t), "office_id")
     rows = rows.filter(F.col("trx_date") == F.col("run_date"))
     sums = rows.groupBy("office_id", "product_id").agg(F.sum("amount").alias("receipts"))
     return _amounts(_without_type(sums), F.lit("misc"), ["receipts"])
@@ -553,7 +553,7 @@ def voucher_numbers(t: Tables) -> DataFrame:
     run = _run(t)
     owned = with_run(t.acc_trx_master, t).select("office_id").distinct().withColumn("has_master", F.lit(1))
     unposted = (
-        t.acc_trx_master.filter("is_posted = 0")
+        on_run_date(t.acc_trx_master.filter("is_posted = 0"), t, "trx_date")
         .join(run, "office_id")
         .filter(F.col("trx_date") == F.col("run_date"))
         .groupBy("office_id")

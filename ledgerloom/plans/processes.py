@@ -166,7 +166,7 @@ def day_end(t: Tables, enforce: bool = True) -> Outcome:
     t = t.replace(saving_summary=eod.roll_saving_summary(t), loan_summary=eod.close_loans(t))
     t = t.replace(loan_trx=history.unionByName(posted))
     t = _saved(t, stage, "closed", "saving_summary", "loan_summary")
-    today = eod.zero_repeat_due(t)
+    today = stage.save("today", eod.zero_repeat_due(t))
     earlier = _not_of_run_date(t, t.loan_trx)
     t = t.replace(loan_trx=earlier.unionByName(today))
     day_rows = today.unionByName(eod.final_due(t))
