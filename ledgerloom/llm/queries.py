@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import packing, token_counts, token_files, url_filters
+from ledgerloom.llm import (
+    boosted_trees,
+    decontamination,
+    discriminant,
+    packing,
+    simhash,
+    token_counts,
+    token_files,
+    toxicity,
+    url_filters,
+)
 from ledgerloom.llm.common import load, stage
 from ledgerloom.llm.tokens import default_path
 
@@ -38,6 +48,28 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(load(spark, sf_dir, "pages"), url_filters.rule_table(spark, URL_RULES))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boosted_trees.quality_rules(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discriminant.quality_scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.drop("text_crc")
+
+
 def op9_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = stage(spark, "token-files").path
     manifest = token_files.write_token_files(load(spark, sf_dir, "documents"), folder, default_path())
@@ -48,5 +80,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_token_counts": op2_token_counts,
     "op3_url_filters": op3_url_filters,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_toxicity": op6_toxicity,
+    "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_id_output": op9_token_id_output,
 }
