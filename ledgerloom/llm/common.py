@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +23,31 @@ def ascii_lower(column):
     return F.translate(column, UPPER, LOWER)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors of an application, once; they need not share the driver's import path."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    packed = Path(tempfile.mkdtemp(prefix="ledgerloom-package-")) / "ledgerloom.zip"  # the driver serves it from here
+    with zipfile.ZipFile(packed, "w") as out:
+        for path in root.rglob("*.py"):
+            out.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(packed))
+    _shipped.add(context.applicationId)
+
+
 def stage(spark: SparkSession, label: str) -> Stage:
     """A new folder for one run below the cluster's shared folder."""
+    ship(spark)
     return Stage(spark, label)
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

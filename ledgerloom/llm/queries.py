@@ -13,6 +13,7 @@ from ledgerloom.llm import (
     discriminant,
     packing,
     simhash,
+    substrings,
     token_counts,
     token_files,
     toxicity,
@@ -76,6 +77,11 @@ def op9_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, folder, manifest)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(load(spark, sf_dir, "documents"), with_text=False)
+    return found.drop("kept_text", "text_crc")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_token_counts": op2_token_counts,
@@ -86,4 +92,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_id_output": op9_token_id_output,
+    "op10_substring_dedup": op10_substring_dedup,
 }
