@@ -3,9 +3,10 @@
 Features of a text are its words (A-Z lower-cased, runs of letters, digits and characters beyond ASCII) and their first
 4, 5 and 6 bytes, each present or not. Training uses labelled rows outside the held-out fold, at most SAMPLE_ROWS of
 them (those with the smallest hash of doc_id), and of their features the FEATURES_KEPT that tell the labels apart best.
-Each labelled text that holds an identity term has a counterpart in which every identity term of its sentences is
-swapped for the next one of the list. The loss is logistic, with a ridge and ``swap_penalty`` times the squared change
-of the score under the swap: a term that only happens to stand in toxic texts gets its weight from neither.
+Each labelled text that holds identity terms has two counterparts: in one every identity term of its sentences is
+swapped for the next of the list, in the other for no word at all. The loss is logistic, with a ridge and
+``swap_penalty`` times the squared change of the score under either swap: a term that only happens to stand in toxic
+texts gets no weight, and neither does the term it is swapped for.
 """
 
 from __future__ import annotations
@@ -49,10 +50,12 @@ def features_of(word: bytes) -> list[bytes]:
     return [word, *(word[:k] + b"*" for k in PREFIXES if len(word) >= k)]
 
 
-def swapped(words: set[bytes], terms: list[bytes]) -> set[bytes]:
-    """The words after each identity term is swapped for the next of the list; the same set if there is none."""
+def swapped(words: set[bytes], terms: list[bytes]) -> list[set[bytes]]:
+    """The words with each identity term swapped for the next of the list, and without them; nothing if there is none."""
+    if words.isdisjoint(terms):
+        return []
     after = dict(zip(terms, terms[1:] + terms[:1], strict=True))
-    return {after.get(word, word) for word in words}
+    return [{after.get(word, word) for word in words}, words.difference(terms)]
 
 
 @dataclass
@@ -188,17 +191,17 @@ def train(
             own, other = [], []
             for text in as_bytes(batch.column("text")):
                 words = words_of(text)
-                after = swapped(words, terms_b)
                 own.append(sorted(model.rows(words)))
-                other.append(None if after == words else sorted(model.rows(after)))
+                other.append([sorted(model.rows(after)) for after in swapped(words, terms_b)])
             kind = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(own, kind), pa.array(other, kind), batch.column("label")], ["own", "other", "label"]
+                [pa.array(own, kind), pa.array(other, pa.list_(kind)), batch.column("label")],
+                ["own", "other", "label"],
             )
 
-    table = rows.mapInArrow(encode, "own array<int>, other array<int>, label int").collect()  # SAMPLE_ROWS rows
+    table = rows.mapInArrow(encode, "own array<int>, other array<array<int>>, label int").collect()  # SAMPLE_ROWS rows
     sets = [set(row.own) for row in table]
-    pairs = [(set(row.own), set(row.other)) for row in table if row.other is not None]
+    pairs = [(set(row.own), set(after)) for row in table for after in row.other]
     model.weights, model.shift = fit(
         sets, np.array([row.label for row in table], float), pairs, len(chosen), swap_penalty
     )
