@@ -1,8 +1,8 @@
 """Token ids in Arrow files of fixed-size lists: sequences of equal length with masks, read without copying.
 
 Documents are dealt by doc_id into ranges; each task encodes its range in order, appends the end id to each document
-and writes two Arrow IPC files: ``part-N.arrow`` (ids: fixed_size_list<uint32>, mask: fixed_size_list<uint8>, the last
-sequence of a file padded with mask 0) and ``part-N.docs.arrow`` (doc_id, start in the part, n_tokens). A file is
+and writes two Arrow IPC files: ``part-N.arrow`` (ids: fixed_size_list<uint16>, or uint32 for a
+vocabulary over 65,536; mask: fixed_size_list<bool>, one bit an id; the last sequence of a file is padded, mask false) and ``part-N.docs.arrow`` (doc_id, start in the part, n_tokens). A file is
 written under a name of the attempt and then renamed, so a repeated task replaces its own equal file. Batches have
 SEQUENCES_PER_BATCH sequences: the place of a sequence follows from its number, and a reader maps the file and slices.
 
@@ -42,11 +42,11 @@ def _names(root: str, part: int) -> tuple[str, str]:
 class _SequenceWriter:
     """Cuts a stream of ids into sequences and writes full batches as they come."""
 
-    def __init__(self, sink, length: int):
+    def __init__(self, sink, length: int, vocabulary: int):
         self.length = length
-        ids = pa.list_(pa.uint32(), length)
-        mask = pa.list_(pa.uint8(), length)
-        self.schema = pa.schema([("ids", ids), ("mask", mask)])
+        kind = pa.uint16() if vocabulary <= 1 << 16 else pa.uint32()
+        self.dtype = kind.to_pandas_dtype()
+        self.schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length))])
         self.out = pa.ipc.new_file(sink, self.schema)
         self.held: list[bytes] = []
         self.n_held = self.n_ids = 0
@@ -64,9 +64,8 @@ class _SequenceWriter:
             self.held, self.n_held = [data[full:].tobytes()], len(data) - full
 
     def _write(self, ids: np.ndarray, n: int) -> None:
-        mask = np.zeros(n, np.uint8)
-        mask[: len(ids)] = 1
-        padded = np.zeros(n, np.uint32)
+        mask = np.arange(n) < len(ids)
+        padded = np.zeros(n, self.dtype)
         padded[: len(ids)] = ids
         lists = [
             pa.FixedSizeListArray.from_arrays(pa.array(values), type=field.type)
@@ -88,6 +87,7 @@ def write_token_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer).encode, int(end_id).to_bytes(4, "little")
+        vocabulary = max(encoder(tokenizer).tokenizer.get_vocab_size(), end_id + 1)
         task = TaskContext.get()
         part, attempt = task.partitionId(), task.taskAttemptId()
         store, root = _opened(folder)
@@ -100,7 +100,7 @@ def write_token_files(
             if writer is None:
                 store.create_dir(root, recursive=True)
                 sinks = [store.open_output_stream(path) for path in held]
-                writer, index = _SequenceWriter(sinks[0], length), pa.ipc.new_file(sinks[1], DOCS)
+                writer, index = _SequenceWriter(sinks[0], length, vocabulary), pa.ipc.new_file(sinks[1], DOCS)
             starts, counts = [], []
             for text in batch.column("text").to_pylist():
                 ids = encode(text) + end
@@ -145,12 +145,11 @@ class TokenFile:
         return self._batch[1]
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence i."""
+        """Ids (a view of the file's bytes) and mask of sequence i."""
         batch, row = self.batch(i // SEQUENCES_PER_BATCH), i % SEQUENCES_PER_BATCH
-        return tuple(
-            batch.column(name).values.to_numpy()[row * self.length : (row + 1) * self.length]
-            for name in ("ids", "mask")
-        )
+        place = slice(row * self.length, (row + 1) * self.length)
+        mask = batch.column("mask").values[place]
+        return batch.column("ids").values.to_numpy()[place], mask.to_numpy(zero_copy_only=False)
 
     def ids(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The ids from start on, as one view for each batch they lie in."""
@@ -180,7 +179,7 @@ def read_documents(spark: SparkSession, folder: str, manifest: list[tuple[int, i
                     for start, n in zip(starts.tolist(), counts.tolist(), strict=True):
                         crc = 0
                         for view in part.ids(start, n):
-                            crc = zlib.crc32(view, crc)
+                            crc = zlib.crc32(view.astype("<u4"), crc)
                         sums.append(crc)
                     columns = [found.column("doc_id"), pa.array(starts + row["base"]), found.column("n_tokens")]
                     yield pa.RecordBatch.from_arrays(
