@@ -59,6 +59,10 @@ def _emitted(name: str, kind: str) -> Column:
 
 # ---------------------------------------------------------------- shared column lists
 
+_LEDGER_LINE = (
+    "office_id trx_date:d voucher_no:s voucher_type:s is_posted is_auto_voucher acc_id debit:m credit:m narration:s"
+)
+
 _SAVING_SHEET = (
     "saving_summary_id office_id center_id member_id product_id no_of_account transaction_date:d "
     "due_saving_installment:m saving_installment:m deposit:m withdrawal:m balance:m trans_type transfer_deposit:m "
@@ -216,6 +220,20 @@ def _gates(t: Tables) -> DataFrame:
     return vouchers.voucher_gates(t, _staged(t, "amounts", vouchers.day_amounts(t)))
 
 
+def _flushed(t: Tables) -> Tables:
+    """The ledger after the day's earlier vouchers are void and its postings are vouchers."""
+    postings = _postings(t)
+    t = vouchers.void_previous(t)
+    return vouchers.flush_to_ledger(t, vouchers.voucher_masters(t, postings), vouchers.voucher_details(t, postings))
+
+
+def _ledger_of_day(t: Tables) -> DataFrame:
+    """Active lines of the run date with their voucher."""
+    run = t.run_control.select("office_id", F.col("business_date").alias("trx_date"))
+    masters = t.acc_trx_master.filter("is_active = 1").drop("is_active").join(run, ["office_id", "trx_date"], "left_semi")
+    return masters.join(t.acc_trx_detail.filter("is_active = 1").drop("is_active"), "trx_master_id")
+
+
 def _closable(t: Tables) -> DataFrame:
     candidates = _staged(t, "candidates", accounts.close_candidates(t))
     return _staged(t, "closable", accounts.closable_accounts(t, candidates))
@@ -356,6 +374,12 @@ QUERIES: dict[str, Query] = {
     "acc_cash_close": Query(
         "voucher_key:s office_id trx_date:d voucher_no:s voucher_type:s acc_id debit:m credit:m", accounts.cash_close
     ),
+    "acc_cash_ledger": Query(_LEDGER_LINE, lambda t: _ledger_of_day(accounts.flush_cash(t, accounts.cash_close(t)))),
+    "acc_post_masters": Query("trx_master_id is_posted", accounts.post_masters),
+    "acc_roll_last_voucher": Query("office_id voucher_no:s", accounts.roll_last_voucher),
+    "eod_remaining_collections": Query(
+        "summary_id office_id loan_paid:m deposit:m withdrawal:m", day_end.remaining_collections
+    ),
     "acc_close_candidates": Query(
         "organization_id office_id center_id member_id product_id no_of_account", accounts.close_candidates
     ),
@@ -378,6 +402,8 @@ QUERIES: dict[str, Query] = {
         "voucher_key:s rule:s acc_id credit:m debit:m narration:s",
         lambda t: vouchers.voucher_details(t, _postings(t)),
     ),
+    "voucher_ledger": Query(_LEDGER_LINE, lambda t: _ledger_of_day(_flushed(t))),
+    "voucher_last_number": Query("office_id voucher_no:s", lambda t: _flushed(t).acc_last_voucher),
     "voucher_numbers": Query("office_id voucher_no:s", vouchers.voucher_numbers),
     "voucher_flag_done": Query("office_id check_auto_voucher", day_end.raise_voucher_flag),
     "voucher_gates": Query(

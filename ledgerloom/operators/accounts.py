@@ -73,6 +73,22 @@ def cash_close(t: Tables) -> DataFrame:
     )
 
 
+def flush_cash(t: Tables, cash: DataFrame) -> Tables:
+    """The cash vouchers of :func:`cash_close` and their lines in the ledger, with hashes of their keys as numbers."""
+    keyed = (
+        cash.withColumn("trx_master_id", F.xxhash64("voucher_key"))
+        .withColumn("trx_details_id", F.xxhash64("voucher_key", "acc_id"))
+        .withColumn("narration", F.lit("N/A"))
+        .withColumn("is_posted", F.lit(0))
+        .withColumn("is_auto_voucher", F.lit(0))
+        .withColumn("is_active", F.lit(1))
+    )
+    return t.replace(
+        acc_trx_master=t.acc_trx_master.unionByName(keyed.select(*t.acc_trx_master.columns)),
+        acc_trx_detail=t.acc_trx_detail.unionByName(keyed.select(*t.acc_trx_detail.columns)),
+    )
+
+
 def post_masters(t: Tables) -> DataFrame:
     """Vouchers of the run date become posted."""
     run = t.run_control.select("office_id", F.col("business_date").alias("run_date"))
@@ -140,10 +156,11 @@ def _members_with_loan(t: Tables, members: DataFrame) -> DataFrame:
 
 
 def closable_accounts(t: Tables, candidates: DataFrame) -> DataFrame:
-    """Those of :func:`close_candidates` without an open member loan whose net balance after today's rows is not positive.
+    """Those of :func:`close_candidates` whose net balance after today's rows is not positive.
 
     ``compulsory`` marks products whose main code starts with 21; ``summed_ok`` is the net test over all rows that
-    share the account keys.
+    share the account keys. ``owing`` marks accounts of members with an open loan: of these only compulsory ones with
+    a negative net are closable.
     """
     keys = ["organization_id", *ACCOUNT_KEYS]
     day = (
@@ -160,16 +177,22 @@ def closable_accounts(t: Tables, candidates: DataFrame) -> DataFrame:
         .agg(F.min(net).alias("least"), F.sum(net).alias("total"))
         .filter("least <= 0")
     )
-    owing = _members_with_loan(t, candidates.select("organization_id", *MEMBER_KEYS).distinct())
+    keys_of_member = ["organization_id", *MEMBER_KEYS]
+    owing = _members_with_loan(t, candidates.select(*keys_of_member).distinct()).withColumn("owing", F.lit(True))
     main_code = products_of(t, "main_product_code")
+    compulsory = F.coalesce(starts_with("main_product_code", "21"), F.lit(False))
     return (
-        tested.join(owing, ["organization_id", *MEMBER_KEYS], "left_anti")
+        tested.join(owing, keys_of_member, "left")
         .join(main_code, "product_id", "left")
         .select(
             *keys,
-            F.coalesce(starts_with("main_product_code", "21"), F.lit(False)).alias("compulsory"),
+            compulsory.alias("compulsory"),
             (F.col("total") <= 0).alias("summed_ok"),
+            F.coalesce("owing", F.lit(False)).alias("owing"),
+            "least",
         )
+        .filter("NOT owing OR (compulsory AND least < 0)")
+        .drop("least")
     )
 
 
@@ -182,12 +205,15 @@ def _open_voluntary(t: Tables, accounts: DataFrame) -> DataFrame:
 def close_accounts(t: Tables, closable: DataFrame) -> DataFrame:
     """Savings accounts after closing: others first, then compulsory ones no other account holds open.
 
+    Compulsory accounts of owing members close whatever else is open.
+
     ``closable`` is the result of :func:`closable_accounts`; the accounts closed carry the office's latest business
     date.
     """
     keys = ["organization_id", *ACCOUNT_KEYS]
     others = closable.filter("NOT compulsory").select(*keys)
-    compulsory = closable.filter("compulsory").select(*keys)
+    compulsory = closable.filter("compulsory AND NOT owing").select(*keys)
+    owing = closable.filter("owing").select(*keys)
     held_open = (
         _open_voluntary(t, t.saving_summary)
         .join(compulsory.select(*MEMBER_KEYS).distinct(), MEMBER_KEYS, "left_semi")
@@ -195,7 +221,7 @@ def close_accounts(t: Tables, closable: DataFrame) -> DataFrame:
         .select(*MEMBER_KEYS)
         .distinct()
     )
-    closing = others.unionByName(compulsory.join(held_open, MEMBER_KEYS, "left_anti"))
+    closing = others.unionByName(compulsory.join(held_open, MEMBER_KEYS, "left_anti")).unionByName(owing)
     latest = t.process_info.groupBy("office_id").agg(F.max("business_date").alias("closed_on"))
     marks = closing.join(latest, "office_id", "left").withColumn("closing", F.lit(1))
     df = set_where(
@@ -214,7 +240,7 @@ def release_members(t: Tables, closable: DataFrame, closed: DataFrame) -> DataFr
     ``closed`` is the result of :func:`close_accounts`.
     """
     keys = ["organization_id", *MEMBER_KEYS]
-    reached = closable.filter("compulsory AND summed_ok").select(*keys).distinct()
+    reached = closable.filter("compulsory AND summed_ok AND NOT owing").select(*keys).distinct()
     own = closed.join(reached.select(*MEMBER_KEYS).distinct(), MEMBER_KEYS, "left_semi")
     positive = own.filter((F.col("is_active") == 1) & (_bare_balance() > 0))
     positive = positive.join(t.products.select("product_id"), "product_id", "left_semi").select(*MEMBER_KEYS)

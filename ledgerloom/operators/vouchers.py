@@ -600,3 +600,35 @@ def voucher_masters(t: Tables, postings: DataFrame) -> DataFrame:
 def voucher_details(t: Tables, postings: DataFrame) -> DataFrame:
     """Voucher lines with the key of their voucher."""
     return _keyed_lines(t, postings).select("voucher_key", "rule", "acc_id", "credit", "debit", "narration")
+
+
+def flush_to_ledger(t: Tables, masters: DataFrame, details: DataFrame) -> Tables:
+    """New vouchers and their lines in the ledger, and the last voucher number rolled to the run year.
+
+    Keys are hashes of the voucher's key (office, date, batch) and of how many vouchers of the run date the office had
+    before, so a second run of the day, whose first vouchers are void by then, gets keys of its own.
+    """
+    run = _run(t).select("office_id", "run_date")
+    before = (
+        on_run_date(t.acc_trx_master, t, "trx_date")
+        .join(run, "office_id")
+        .filter(F.col("trx_date") == F.col("run_date"))
+        .groupBy("office_id")
+        .agg(F.count(F.lit(1)).alias("vouchers_before"))
+    )
+    heads = masters.join(before, "office_id", "left").fillna(0, "vouchers_before")
+    heads = heads.withColumn("trx_master_id", F.xxhash64("voucher_key", "vouchers_before")).withColumn("is_active", F.lit(1))
+    line_key = F.xxhash64("trx_master_id", "rule", "acc_id", "credit", "debit", "narration")
+    lines = (
+        details.join(heads.select("voucher_key", "trx_master_id"), "voucher_key")
+        .withColumn("trx_details_id", line_key)
+        .withColumn("is_active", F.lit(1))
+    )
+    picked = masters.select("office_id", "trx_date").distinct().join(voucher_numbers(t), "office_id")
+    rolled = picked.select("office_id", voucher_with_last_year(F.col("voucher_no"), F.year("trx_date")).alias("rolled"))
+    last = t.acc_last_voucher.join(rolled, "office_id", "full")
+    return t.replace(
+        acc_trx_master=t.acc_trx_master.unionByName(heads.select(*t.acc_trx_master.columns)),
+        acc_trx_detail=t.acc_trx_detail.unionByName(lines.select(*t.acc_trx_detail.columns)),
+        acc_last_voucher=last.select("office_id", F.coalesce("rolled", "voucher_no").alias("voucher_no")),
+    )

@@ -118,36 +118,29 @@ def _move_excess(t: Tables, stage: Stage, step: str) -> Tables:
 def auto_voucher(t: Tables, enforce: bool = True) -> Outcome:
     """Adjustment, voiding of earlier automatic vouchers and the day's postings as vouchers.
 
-    New vouchers are ``voucher_masters`` and ``voucher_details`` in the returned set.
+    The vouchers are in the ledger of the returned set, and apart as ``voucher_masters`` and ``voucher_details``.
     """
     stage = _stage(t, "vouchers")
     report = stage.save("report", validations.auto_voucher_report(t))
     if enforce:
         t = validations.passing_offices(t, report)
     t = adjust(t, stage, "adjust")
-    numbers = vouchers.voucher_numbers(t)
     t = vouchers.void_previous(t)
     amounts = stage.save("amounts", vouchers.day_amounts(t))
     postings = stage.save("postings", vouchers.voucher_postings(t, amounts))
-    masters = vouchers.voucher_masters(t.replace(acc_trx_master=stage.save("voided", t.acc_trx_master)), postings)
-    details = vouchers.voucher_details(t, postings)
-    number = numbers.select("office_id", F.col("voucher_no").alias("picked"))
-    last = t.acc_last_voucher.join(number, "office_id", "full")
-    last = last.select("office_id", F.coalesce("picked", "voucher_no").alias("voucher_no"))
-    t = t.replace(
-        voucher_masters=masters,
-        voucher_details=details,
-        acc_last_voucher=last,
-        auto_voucher_check=eod.raise_voucher_flag(t),
-    )
+    t = t.replace(acc_trx_master=stage.save("voided", t.acc_trx_master))
+    masters = stage.save("masters", vouchers.voucher_masters(t, postings))
+    details = stage.save("details", vouchers.voucher_details(t, postings))
+    t = vouchers.flush_to_ledger(t, masters, details)
+    t = t.replace(voucher_masters=masters, voucher_details=details, auto_voucher_check=eod.raise_voucher_flag(t))
     return Outcome(t, report)
 
 
 def day_end(t: Tables, enforce: bool = True) -> Outcome:
     """Posting, balance rolls and closings of the day.
 
-    New history rows and archives are ``new_loan_trx``, ``new_saving_trx``, ``cash_vouchers`` and
-    ``archived_collections`` in the returned set.
+    Cash vouchers are in the ledger of the returned set. New history rows and archives are also apart, as
+    ``new_loan_trx``, ``new_saving_trx``, ``cash_vouchers`` and ``archived_collections``.
     """
     stage = _stage(t, "day-end")
     report = stage.save("report", validations.day_end_report(t))
@@ -171,13 +164,15 @@ def day_end(t: Tables, enforce: bool = True) -> Outcome:
     t = t.replace(loan_trx=earlier.unionByName(today))
     day_rows = today.unionByName(eod.final_due(t))
     day_rows = stage.save("day-rows", eod.purge_zero_due(day_rows, t))
+    cash = stage.save("cash", accounts.cash_close(t))
+    t = accounts.flush_cash(t, cash)
     t = t.replace(
         loan_trx=earlier.unionByName(day_rows),
         new_loan_trx=day_rows,
         new_saving_trx=new_savings,
         saving_trx=t.saving_trx.unionByName(new_savings),
         centers=eod.next_collection_date(t),
-        cash_vouchers=accounts.cash_close(t),
+        cash_vouchers=cash,
         acc_trx_master=accounts.post_masters(t),
         acc_last_voucher=accounts.roll_last_voucher(t),
         process_info=eod.close_process(t),

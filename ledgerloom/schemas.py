@@ -27,6 +27,9 @@ SCHEMAS: dict[str, str] = {
     payment_frequency string, interest_rate decimal(18,2), insurance_item_rate decimal(18,2),
     is_active int
     """,
+    "product_counts": """
+    sets bigint
+    """,
     "product_mappings": """
     office_id bigint, product_id bigint
     """,

@@ -30,17 +30,19 @@ FIXTURE_SQL: dict[str, str] = {
         AS DECIMAL(18,2)),'2100'),(2,15.00,5.00,8.25,'2101'),(3,20.00,6.00,9.00,'2102'))
         t(member_category_id,admission_fee,pass_book_fee,loan_form_fee,category_short_name_bng)
     """,
+    "product_counts": """
+        SELECT CAST(floor(count(*)/24) AS BIGINT) sets FROM part
+    """,
     "products": """
-        SELECT CAST(p_partkey+1 AS BIGINT) product_id, concat(CASE WHEN p_partkey<4 THEN '21' WHEN p_partkey<6
-        THEN '20' WHEN p_partkey<8 THEN '22' WHEN p_partkey>=22 THEN '71' ELSE '11' END, lpad(concat('',p_partkey),2,'0'))
-        product_code, p_name product_name, CASE WHEN p_partkey<4 THEN '2101' WHEN p_partkey<8 THEN '2201' WHEN
-        p_partkey IN (8,9,14) THEN '111' ELSE '1201' END main_product_code, CASE WHEN p_partkey IN (3,7) THEN
-        'DPS' ELSE 'GS' END sub_main_category, CASE WHEN p_partkey<8 THEN 0 WHEN p_partkey%7=0 THEN 2 WHEN p_partkey%11=0
-        THEN 3 ELSE 1 END product_type, substr('FADERH',CAST(p_partkey%6+1 AS INT),1) interest_calculation_method,
-        CASE WHEN p_partkey IN (3,7) THEN 'M' WHEN p_partkey IN (20,21) THEN 'F' WHEN p_partkey BETWEEN 12 AND
-        17 THEN 'M' ELSE 'W' END payment_frequency, CAST(8+p_partkey%9 AS DECIMAL(18,2)) interest_rate, CAST(1+p_partkey%2
-        AS DECIMAL(18,2)) insurance_item_rate, 1 is_active FROM (SELECT p_partkey%24 p_partkey, min(p_name) p_name
-        FROM part GROUP BY p_partkey%24) line
+        SELECT CAST(p_partkey+1 AS BIGINT) product_id, concat(CASE WHEN k<4 THEN '21' WHEN k<6 THEN '20' WHEN k<8
+        THEN '22' WHEN k>=22 THEN '71' ELSE '11' END, lpad(concat('',k),2,'0'), CASE WHEN p_partkey<24 THEN ''
+        ELSE lpad(concat('',p_partkey),9,'0') END) product_code, p_name product_name, CASE WHEN k<4 THEN '2101'
+        WHEN k<8 THEN '2201' WHEN k IN (8,9,14) THEN '111' ELSE '1201' END main_product_code, CASE WHEN k IN (3,7)
+        THEN 'DPS' ELSE 'GS' END sub_main_category, CASE WHEN k<8 THEN 0 WHEN k%7=0 THEN 2 WHEN k%11=0 THEN 3
+        ELSE 1 END product_type, substr('FADERH',CAST(k%6+1 AS INT),1) interest_calculation_method, CASE WHEN
+        k IN (3,7) THEN 'M' WHEN k IN (20,21) THEN 'F' WHEN k BETWEEN 12 AND 17 THEN 'M' ELSE 'W' END payment_frequency,
+        CAST(8+k%9 AS DECIMAL(18,2)) interest_rate, CAST(1+k%2 AS DECIMAL(18,2)) insurance_item_rate, 1 is_active
+        FROM (SELECT p_partkey, p_name, p_partkey%24 k FROM part) line
     """,
     "product_mappings": """
         SELECT o.office_id, p.product_id FROM offices o CROSS JOIN products p WHERE (o.office_id+p.product_id)%3<>0
@@ -55,7 +57,7 @@ FIXTURE_SQL: dict[str, str] = {
         customer
     """,
     "loan_summary": """
-        SELECT x+1 loan_summary_id, CAST(4 AS BIGINT) organization_id, office_id, center_id, member_id, CAST(9+x%16
+        SELECT x+1 loan_summary_id, CAST(4 AS BIGINT) organization_id, office_id, center_id, member_id, CAST(24*(x%sets)+9+x%16
         AS BIGINT) product_id, CAST(1+x%3 AS INT) loan_term, member_category_id, x%9 purpose_id, x%40 employee_id,
         x%4 investor_id, concat('L',x) loan_no, dur duration, no installment_no, CAST(prin AS DECIMAL(18,2)) principal_loan,
         CAST(CASE WHEN cx%97 IN (5,7) THEN prin WHEN x%41=0 THEN prin+5 WHEN x%17=0 OR li*no>prin THEN prin ELSE
@@ -76,10 +78,10 @@ FIXTURE_SQL: dict[str, str] = {
         DECIMAL(18,2)) partial_int_paid, CAST(prin+500*(x%2) AS DECIMAL(18,2)) approved_amount, CAST(x%2 AS INT)
         final_disbursement, CASE WHEN x%13=0 THEN 0 ELSE 1 END posted, CASE WHEN x%11=0 OR cx%97 IN (5,7) THEN
         0 ELSE 1 END loan_status, CASE WHEN x%53=0 THEN 0 ELSE 1 END is_active, 1 is_approved FROM (SELECT a.*,
-        CAST(floor(prin/dur) AS BIGINT) li, CAST(floor(chg/dur) AS BIGINT) ii FROM (SELECT o_orderkey x, o_custkey
+        CAST(floor(prin/dur) AS BIGINT) li, CAST(floor(chg/dur) AS BIGINT) ii FROM (SELECT sets, o_orderkey x, o_custkey
         cx, m.office_id, m.center_id, m.member_id, m.member_category_id, 1000*(1+o_orderkey%50) prin, 120*(1+o_orderkey%50)
         chg, CASE WHEN o_orderkey%3=0 THEN 46 WHEN o_orderkey%3=1 THEN 12 ELSE 24 END dur, CAST(o_orderkey%50
-        AS INT) no FROM orders JOIN members m ON m.member_id=o_custkey+1) a) b
+        AS INT) no FROM orders JOIN members m ON m.member_id=o_custkey+1 CROSS JOIN product_counts) a) b
     """,
     "daily_loan_trx": """
         SELECT ok*10+ln daily_loan_trx_id, DATE '2001-07-16' trx_date, l.loan_summary_id, l.organization_id, l.office_id,
@@ -107,7 +109,7 @@ FIXTURE_SQL: dict[str, str] = {
         k JOIN loan_summary l ON l.loan_summary_id=ok+1
     """,
     "saving_summary": """
-        SELECT (m.member_id-1)*2+a.a+1 saving_summary_id, m.organization_id, m.office_id, m.member_id, CAST(1+(m.member_id+a.a*3)%8
+        SELECT (m.member_id-1)*2+a.a+1 saving_summary_id, m.organization_id, m.office_id, m.member_id, CAST(24*(m.member_id%sets)+1+(m.member_id+a.a*3)%8
         AS BIGINT) product_id, m.center_id, a.a+1 no_of_account, DATE '2001-07-16'-CAST((m.member_id+a.a*7)%60
         AS INT) transaction_date, CAST(100*(m.member_id%30) AS DECIMAL(18,2)) deposit, CAST(CASE WHEN m.member_id%97
         IN (6,8) THEN 100*(m.member_id%30)+m.member_id%9 WHEN m.member_id%6=0 THEN 100*(m.member_id%30)+m.member_id%9
@@ -119,7 +121,8 @@ FIXTURE_SQL: dict[str, str] = {
         10 trans_type, CASE WHEN (m.member_id+a.a)%14=0 OR m.member_id%97=6 THEN 0 ELSE 1 END saving_status, m.member_id%40
         employee_id, m.member_category_id, CASE WHEN m.member_id%59=0 THEN 0 ELSE 1 END is_active, CAST(0 AS DECIMAL(18,2))
         cur_deposit, CAST(0 AS DECIMAL(18,2)) cur_withdrawal, CAST(0 AS DECIMAL(18,2)) cur_interest, CAST(0 AS
-        DECIMAL(18,2)) cur_penalty FROM members m CROSS JOIN (SELECT 0 a UNION ALL SELECT 1 a) a
+        DECIMAL(18,2)) cur_penalty FROM members m CROSS JOIN (SELECT 0 a UNION ALL SELECT 1 a) a CROSS JOIN
+        product_counts
     """,
     "daily_saving_trx": """
         SELECT o.o_orderkey+1 daily_saving_trx_id, s.saving_summary_id, s.organization_id, s.office_id, s.member_id,
@@ -145,11 +148,11 @@ FIXTURE_SQL: dict[str, str] = {
         JOIN products p ON p.product_id=s.product_id
     """,
     "acc_chart": """
-        SELECT row_number() OVER (ORDER BY acc_code) acc_id, acc_code, CAST(4 AS BIGINT) organization_id, CASE
-        WHEN acc_code='SW3' THEN 0 ELSE 1 END is_active FROM (SELECT product_code acc_code FROM products UNION
-        ALL SELECT concat(i.c, k.k) FROM (VALUES ('LR'),('SR'),('SD'),('SW'),('LD'),('GS'),('RB')) i(c) CROSS
-        JOIN (VALUES (0),(1),(2),(3)) k(k) UNION ALL SELECT v.c FROM (VALUES ('MA'),('PB'),('LF'),('RMC'),('RMD'),('RH'),('LL'),('BK0'),('BK1'),('CASH'))
-        v(c)) u
+        SELECT CAST(u.id AS BIGINT) acc_id, u.acc_code, CAST(4 AS BIGINT) organization_id, CASE WHEN u.acc_code='SW3'
+        THEN 0 ELSE 1 END is_active FROM (SELECT 38+product_id id, product_code acc_code FROM products UNION ALL
+        SELECT i.n*4+k.k+1, concat(i.c, k.k) FROM (VALUES (0,'LR'),(1,'SR'),(2,'SD'),(3,'SW'),(4,'LD'),(5,'GS'),(6,'RB'))
+        i(n,c) CROSS JOIN (VALUES (0),(1),(2),(3)) k(k) UNION ALL SELECT v.n, v.c FROM (VALUES (29,'MA'),(30,'PB'),(31,'LF'),(32,'RMC'),(33,'RMD'),(34,'RH'),(35,'LL'),(36,'BK0'),(37,'BK1'),(38,'CASH'))
+        v(n,c)) u
     """,
     "accounting_interface": """
         SELECT p.product_id, i.ind trx_ind, i.vt voucher_type, i.vt trx_type, 'CA' voucher_category, concat(i.ind,
@@ -201,10 +204,10 @@ FIXTURE_SQL: dict[str, str] = {
         SELECT member_id transfer_history_id, member_id tr_member_id, office_id FROM members WHERE member_id%38=1
     """,
     "miscellaneous": """
-        SELECT o_orderkey+1 miscellaneous_id, m.office_id, CAST(1+o_orderkey%24 AS BIGINT) product_id, CASE WHEN
+        SELECT o_orderkey+1 miscellaneous_id, m.office_id, CAST(1+24*(o_orderkey%sets)+o_orderkey%24 AS BIGINT) product_id, CASE WHEN
         o_orderkey%2=0 THEN DATE '2001-07-16' ELSE DATE '2001-07-16'-1 END trx_date, CAST(10+o_orderkey%90 AS
         DECIMAL(18,2)) amount, CASE WHEN o_orderkey%7=0 THEN 0 ELSE 1 END is_active FROM orders JOIN members m
-        ON m.member_id=o_custkey+1
+        ON m.member_id=o_custkey+1 CROSS JOIN product_counts
     """,
     "application_settings": """
         SELECT office_id, organization_id, DATE '2000-12-31' year_closing_date, 'CASH' cash_book FROM offices
@@ -216,10 +219,11 @@ FIXTURE_SQL: dict[str, str] = {
         SELECT office_id, concat(lpad(concat('',office_id),2,'0'),'-2000') voucher_no FROM offices
     """,
     "collection_loan_savings": """
-        SELECT event_id summary_id, m.office_id, m.center_id, m.member_id, CAST(1+event_id%24 AS BIGINT) product_id,
+        SELECT event_id summary_id, m.office_id, m.center_id, m.member_id, CAST(1+24*(event_id%sets)+event_id%24 AS BIGINT) product_id,
         CAST(event_id%300 AS DECIMAL(18,2)) loan_paid, CAST(event_id%70 AS DECIMAL(18,2)) deposit, CAST(event_id%11
         AS DECIMAL(18,2)) withdrawal, CASE WHEN event_id%2=0 THEN DATE '2001-07-16' ELSE DATE '2001-07-16'-1 END
-        collection_date, CAST(event_id%2 AS INT) is_uploaded FROM events JOIN members m ON m.member_id=user_id+1
+        collection_date, CAST(event_id%2 AS INT) is_uploaded FROM events JOIN members m ON m.member_id=user_id+1 CROSS JOIN
+        product_counts
     """,
 }
 

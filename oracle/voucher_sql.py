@@ -174,6 +174,12 @@ PARTS = {
     "heads": "SELECT DISTINCT p.office_id, p.batch FROM postings p",
 }
 
+_MASTERS = """SELECT h.office_id||'-20010716-'||h.batch voucher_key, r.organization_id, h.office_id, r.business_date trx_date,
+          concat_ws('/', CASE WHEN h.batch=(SELECT min(batch) FROM heads x WHERE x.office_id=h.office_id) THEN n.voucher_no
+            ELSE substr(n.voucher_no,1,length(n.voucher_no)-4)||year(r.business_date) END, h.batch) voucher_no, 'CA' voucher_type, 0 is_posted, 1 is_auto_voucher
+        FROM heads h JOIN run_control r ON r.office_id=h.office_id LEFT JOIN picked_numbers n ON n.office_id=h.office_id"""
+_DETAILS = "SELECT office_id||'-20010716-'||batch voucher_key, rule, acc_id, credit, debit, narration FROM postings"
+
 TEXTS = {
     "voucher_postings": "SELECT * FROM postings",
     **{
@@ -184,11 +190,15 @@ TEXTS = {
     + ", ".join(f"CASE WHEN r.office_id IN ({sql}) THEN 1 ELSE 0 END {name}" for name, sql in _GATES.items())
     + " FROM run_control r",
     "voucher_numbers": "SELECT office_id, voucher_no FROM picked_numbers",
-    "voucher_masters": """SELECT h.office_id||'-20010716-'||h.batch voucher_key, r.organization_id, h.office_id, r.business_date trx_date,
-          concat_ws('/', CASE WHEN h.batch=(SELECT min(batch) FROM heads x WHERE x.office_id=h.office_id) THEN n.voucher_no
-            ELSE substr(n.voucher_no,1,length(n.voucher_no)-4)||year(r.business_date) END, h.batch) voucher_no, 'CA' voucher_type, 0 is_posted, 1 is_auto_voucher
-        FROM heads h JOIN run_control r ON r.office_id=h.office_id LEFT JOIN picked_numbers n ON n.office_id=h.office_id""",
-    "voucher_details": "SELECT office_id||'-20010716-'||batch voucher_key, rule, acc_id, credit, debit, narration FROM postings",
+    "voucher_masters": _MASTERS,
+    "voucher_details": _DETAILS,
+    "voucher_ledger": f"""SELECT v.office_id, v.trx_date, v.voucher_no, v.voucher_type, v.is_posted, v.is_auto_voucher, l.acc_id, l.debit, l.credit, l.narration
+        FROM ({_MASTERS}) v JOIN ({_DETAILS}) l USING (voucher_key)
+        UNION ALL SELECT k.office_id, k.trx_date, k.voucher_no, k.voucher_type, k.is_posted, k.is_auto_voucher, l.acc_id, l.debit, l.credit, l.narration
+        FROM acc_trx_detail l JOIN acc_trx_master k USING (trx_master_id)
+        WHERE k.is_active*l.is_active=1 AND (k.office_id, k.trx_date) IN (SELECT (office_id, business_date) FROM run_control) AND (k.is_posted=1 OR k.is_auto_voucher=0)""",
+    "voucher_last_number": """SELECT a.office_id, coalesce(CASE WHEN a.office_id IN (SELECT office_id FROM heads)
+          THEN (SELECT left(n.voucher_no, -4)||'2001' FROM picked_numbers n WHERE n.office_id=a.office_id) END, a.voucher_no) voucher_no FROM acc_last_voucher a""",
     "voucher_flag_done": "SELECT a.office_id, CASE WHEN a.office_id IN (SELECT office_id FROM run_control) THEN 1 ELSE check_auto_voucher END check_auto_voucher FROM auto_voucher_check a",
     "voucher_void_previous": """SELECT 'master' kind, trx_master_id row_id, CASE WHEN hit THEN 0 ELSE is_active END is_active FROM (SELECT m.*, m.trx_date=r.business_date
           AND m.is_posted=0 AND m.is_active=1 AND m.is_auto_voucher=1 hit FROM acc_trx_master m JOIN run_control r ON r.office_id=m.office_id) q

@@ -21,7 +21,7 @@ def test_matches_sql(key, spark, duck):
 
 
 def test_every_sql_names_a_query():
-    assert set(TEXTS) <= set(entry_points.queries())
+    assert set(TEXTS) == set(QUERIES) <= set(entry_points.queries())
 
 
 def test_entry(spark):
