@@ -56,8 +56,54 @@ def test_day_end_then_month_close(closed_day):
     assert after.loan_summary.count() == closed_day.loan_summary.count()
 
 
-def test_auto_voucher(tables):
-    after = processes.auto_voucher(tables, enforce=False).tables
+@pytest.fixture(scope="module")
+def vouchered(tables):
+    return processes.auto_voucher(tables, enforce=False).tables
+
+
+def _active_auto(t):
+    run = t.run_control.select("office_id", F.col("business_date").alias("trx_date"))
+    return t.acc_trx_master.filter("is_active = 1 AND is_auto_voucher = 1 AND is_posted = 0").join(
+        run, ["office_id", "trx_date"], "left_semi"
+    )
+
+
+def test_vouchers_are_in_the_ledger(tables, vouchered):
+    assert _unique(vouchered.acc_trx_master, "trx_master_id")
+    assert _unique(vouchered.acc_trx_detail, "trx_details_id")
+    new = _active_auto(vouchered)
+    assert sorted(r.voucher_no or "" for r in new.collect()) == sorted(
+        r.voucher_no or "" for r in vouchered.voucher_masters.collect()
+    )
+    assert vouchered.acc_trx_detail.join(new, "trx_master_id", "left_semi").count() == vouchered.voucher_details.count()
+    with_vouchers = [r.office_id for r in vouchered.voucher_masters.filter("voucher_no LIKE '%-%'").collect()]
+    last = vouchered.acc_last_voucher.filter(F.col("office_id").isin(*with_vouchers)).collect()
+    assert all(r.voucher_no.endswith("-2001") for r in last)
+
+
+def test_day_end_sees_the_vouchers(tables, vouchered):
+    def passing(t):
+        report = validations.day_end_report(t).filter("rule = 'W12' AND ok = 1").collect()
+        return {r.office_id for r in report}
+
+    with_vouchers = {r.office_id for r in vouchered.voucher_masters.collect()}
+    assert with_vouchers <= passing(vouchered)
+    after = processes.day_end(vouchered, enforce=False).tables
+    cash = after.cash_vouchers
+    booked = after.acc_trx_master.filter("voucher_type IN ('Dr', 'Cr')")
+    assert booked.count() == cash.count() > 0
+    run = after.run_control.select("office_id", F.col("business_date").alias("trx_date"))
+    assert after.acc_trx_master.join(run, ["office_id", "trx_date"], "left_semi").filter("is_posted = 0").count() == 0
+
+
+def test_second_voucher_run_voids_the_first(vouchered):
+    again = processes.auto_voucher(vouchered, enforce=False).tables
+    assert _unique(again.acc_trx_master, "trx_master_id")
+    assert _active_auto(again).count() == again.voucher_masters.count()
+
+
+def test_auto_voucher(vouchered):
+    after = vouchered
     masters, details = after.voucher_masters, after.voucher_details
     assert _unique(masters, "voucher_key")
     assert details.join(masters, "voucher_key", "left_anti").count() == 0
