@@ -306,10 +306,15 @@ def _compulsory_accounts(t: Tables, saving_summary: DataFrame) -> DataFrame:
     return saving_summary.filter("is_active = 1 AND saving_status = 1").join(compulsory, "product_id")
 
 
+#: Room for days since 1970 in the key of an account opened on overpayment.
+DAYS_IN_KEY = 100_000
+
+
 def open_savings_for_overpaid(t: Tables, overpaid: DataFrame) -> DataFrame:
     """A savings account (number 2) per overpaid loan whose member has no active compulsory savings.
 
-    The new account's key is the negated loan key: unique, and apart from existing keys.
+    The new account's key is made of the loan's key and the run date, negated: apart from existing keys, and from the
+    account that an earlier overpayment of the same loan opened.
     """
     members = t.members.select(
         "office_id", "member_id", F.col("center_id").alias("m_center"), "member_category_id",
@@ -327,7 +332,7 @@ def open_savings_for_overpaid(t: Tables, overpaid: DataFrame) -> DataFrame:
         .join(t.products.select("product_code", "product_id", "interest_rate"), "product_code")
     )
     set_columns = {
-        "saving_summary_id": -F.col("loan_summary_id"),
+        "saving_summary_id": -(F.col("loan_summary_id") * DAYS_IN_KEY + F.unix_date("run_date")),
         "organization_id": F.col("m_organization"),
         "center_id": F.col("m_center"),
         "no_of_account": F.lit(2),

@@ -1,4 +1,4 @@
-"""Row changes without in-place mutation: snapshot update, conditional update, key-set deletion."""
+"""Row changes without in-place mutation: conditional update, key-set deletion."""
 
 from __future__ import annotations
 
@@ -14,20 +14,6 @@ ACCOUNT_KEYS = ["office_id", "center_id", "member_id", "product_id", "no_of_acco
 MEMBER_KEYS = ["office_id", "center_id", "member_id"]
 
 
-def snapshot_update(target: DataFrame, delta: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """New version of ``target`` with ``columns`` taken from ``delta`` (one row per key) where a key matches.
-
-    A matched NULL overwrites; unmatched rows stay as they are.
-    """
-    fresh = delta.select(*keys, *[F.col(c).alias(f"new_{c}") for c in columns], F.lit(1).alias("matched"))
-    merged = target.join(fresh, list(keys), "left")
-    kinds = dict(target.dtypes)
-    changed = {
-        c: F.when(F.col("matched") == 1, F.col(f"new_{c}").cast(kinds[c])).otherwise(F.col(c)) for c in columns
-    }
-    return merged.withColumns(changed).select(*target.columns)
-
-
 def set_where(df: DataFrame, condition: Column, **values: Column | int) -> DataFrame:
     """Conditional update; every right-hand side sees the row as it was before."""
     kinds = dict(df.dtypes)

@@ -147,14 +147,11 @@ def _member_amounts(t: Tables) -> DataFrame:
         .join(_run(t), "office_id")
         .filter(F.col("join_date") == F.col("run_date"))
     )
-    transfers = (
-        t.transfer_history.select(F.col("tr_member_id").alias("member_id"), F.col("office_id").alias("from_office"))
-        .groupBy("member_id")
-        .agg(F.collect_set("from_office").alias("from_offices"))
-    )
-    here = F.coalesce(F.array_contains("from_offices", F.col("office_id")), F.lit(False))
+    transfers = t.transfer_history.select(F.col("tr_member_id").alias("member_id"), "office_id").distinct()
+    anywhere = transfers.select("member_id").distinct().withColumn("moved", F.lit(1))
+    here = transfers.withColumn("moved_here", F.lit(1))
     sources = F.array_compact(
-        F.array(F.when(F.col("from_offices").isNull(), F.lit("joined")), F.when(~here, F.lit("joined_here")))
+        F.array(F.when(F.col("moved").isNull(), F.lit("joined")), F.when(F.col("moved_here").isNull(), F.lit("joined_here")))
     )
     fees = {
         "admission_fee": F.col("admission_fee"),
@@ -162,7 +159,8 @@ def _member_amounts(t: Tables) -> DataFrame:
         "loan_form_fee": F.col("loan_form_fee").cast(WHOLE),
     }
     sums = (
-        members.join(transfers, "member_id", "left")
+        members.join(anywhere, "member_id", "left")
+        .join(here, ["member_id", "office_id"], "left")
         .groupBy("office_id", "member_category_id", sources.alias("sources"))
         .agg(F.count(F.lit(1)).alias("members"))
         .join(t.member_categories, "member_category_id")

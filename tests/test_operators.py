@@ -11,13 +11,6 @@ from ledgerloom.sources.tables import Tables
 TODAY = date(2001, 7, 16)
 
 
-def test_snapshot_update_overwrites_with_null(spark):
-    target = spark.createDataFrame([(1, 5), (2, 6), (3, 7)], "id int, v int")
-    delta = spark.createDataFrame([(1, None), (3, 9)], "id int, v int")
-    rows = changes.snapshot_update(target, delta, ["id"], ["v"]).orderBy("id").collect()
-    assert [tuple(r) for r in rows] == [(1, None), (2, 6), (3, 9)]
-
-
 def test_set_where_sees_old_values(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert tuple(changes.set_where(df, F.lit(True), a=F.col("b"), b=F.col("a")).first()) == (2, 1)
@@ -161,3 +154,13 @@ def test_loan_parts_make_the_sheet(tables):
     sheet = start_of_day.loan_sheet(tables)
     assert sheet.exceptAll(parts).count() == 0
     assert sheet.count() == parts.count()
+
+
+def test_accounts_opened_on_overpayment_have_keys_of_their_day(tables):
+    overpaid = adjustments.overpaid_loans(tables)
+    first = adjustments.open_savings_for_overpaid(tables, overpaid)
+    later = adjustments.open_savings_for_overpaid(
+        tables, overpaid.withColumn("run_date", F.date_add("run_date", 30))
+    )
+    ids = [r.saving_summary_id for r in first.unionByName(later).select("saving_summary_id").collect()]
+    assert ids and len(ids) == len(set(ids)) and max(ids) < 0
