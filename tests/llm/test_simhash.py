@@ -120,6 +120,15 @@ def test_components_of_a_chain(spark):
     assert components(edges.limit(0)).count() == 0
 
 
+def test_components_of_stars(spark):
+    # one centre in the middle of its leaves, one above and one below them, and the last two joined
+    edges = [(500, k) for k in range(1000) if k != 500] + [(3000, k) for k in range(2000, 2900)]
+    edges += [(4000, k) for k in range(4001, 4900)] + [(4899, 3000), (4899, 3000)]
+    roots = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    expected = {k: 0 for k in range(1, 1000)} | {k: 2000 for k in [*range(2001, 2900), 3000, *range(4000, 4900)]}
+    assert {k: v for k, v in roots.items() if k != v} == expected
+
+
 def test_one_of_each(spark):
     rows = awkward_rows()
     kept = simhash.one_of_each(documents(spark, rows))
