@@ -145,16 +145,6 @@ def _both_sheets(prepare: Callable[[Tables], Tables]) -> Callable[[Tables], Data
     return build
 
 
-def _for_organization_5(t: Tables) -> Tables:
-    five = F.lit(5).cast("bigint")
-    return t.replace(
-        **{
-            name: getattr(t, name).withColumn("organization_id", five)
-            for name in ("run_control", "loan_summary", "daily_loan_trx")
-        }
-    )
-
-
 def _staged(t: Tables, name: str, df: DataFrame) -> DataFrame:
     """A small result that several later branches read, written once."""
     return Stage(t.run_control.sparkSession, "query").save(name, df)
@@ -278,7 +268,7 @@ QUERIES: dict[str, Query] = {
     "sod_lift_loan_zero": Query(_LOAN_AMOUNTS, start_of_day.lift_loan_zero),
     "sod_jcf_charge": Query(
         "daily_loan_trx_id int_charge:m cum_int_charge:m",
-        lambda t: start_of_day.stop_charge(_for_organization_5(t)),
+        start_of_day.stop_charge,
     ),
     "sod_last_installment": Query(_LOAN_AMOUNTS, start_of_day.last_installment),
     "sod_reset_partial": Query(

@@ -2,12 +2,17 @@
 
 Every text is plain SQL that Spark and DuckDB both read and evaluate to the same rows, so the engine and its
 SQL check start from identical inputs. Later entries read earlier ones.
+
+The texts are written for one day and one organization. ``_for_each_office`` then gives each office its own: a table
+``x`` with an office is read from ``base_x``, with its dates moved by the office's days and the office's organization.
 """
 
 from __future__ import annotations
 
 import re
 
+from ledgerloom.schemas import SCHEMAS
+
 SUPPLIED = ("nation", "customer", "part", "orders", "lineitem", "events")
 
 FIXTURE_SQL: dict[str, str] = {
@@ -153,6 +158,7 @@ FIXTURE_SQL: dict[str, str] = {
         SELECT i.n*4+k.k+1, concat(i.c, k.k) FROM (VALUES (0,'LR'),(1,'SR'),(2,'SD'),(3,'SW'),(4,'LD'),(5,'GS'),(6,'RB'))
         i(n,c) CROSS JOIN (VALUES (0),(1),(2),(3)) k(k) UNION ALL SELECT v.n, v.c FROM (VALUES (29,'MA'),(30,'PB'),(31,'LF'),(32,'RMC'),(33,'RMD'),(34,'RH'),(35,'LL'),(36,'BK0'),(37,'BK1'),(38,'CASH'))
         v(n,c)) u
+        UNION ALL SELECT 1000000000+o.n, 'CASH', CAST(o.n AS BIGINT), 1 FROM (VALUES (5),(7),(12),(54)) o(n)
     """,
     "accounting_interface": """
         SELECT p.product_id, i.ind trx_ind, i.vt voucher_type, i.vt trx_type, 'CA' voucher_category, concat(i.ind,
@@ -229,6 +235,44 @@ FIXTURE_SQL: dict[str, str] = {
 
 _SOURCE = re.compile(r"\b(FROM|JOIN)\s+([a-z_]+)\b")
 
+#: Days by which an office's dates lie later; ends of months stay ends of months.
+SHIFT = "(CASE CAST(office_id%3 AS INT) WHEN 0 THEN 28 WHEN 1 THEN 0 ELSE 1 END)"
+ORGANIZATION = "CAST(CASE CAST(office_id%8 AS INT) WHEN 3 THEN 7 WHEN 5 THEN 5 WHEN 6 THEN 12 WHEN 7 THEN 54 ELSE 4 END AS BIGINT)"
+_UNMOVED = ("year_closing_date",)
+
+
+def _column_of_office(name: str, kind: str) -> str:
+    if name == "organization_id":
+        return f"{ORGANIZATION} organization_id"
+    if kind == "date" and name not in _UNMOVED:
+        end = f"{name}=last_day({name})"
+        return f"CASE WHEN {end} AND {SHIFT}=1 THEN {name} WHEN {end} THEN last_day({name}+{SHIFT}) ELSE {name}+{SHIFT} END {name}"
+    return name
+
+
+def _for_each_office(texts: dict[str, str]) -> dict[str, str]:
+    moved = {}
+    for name in texts:
+        columns = [item.split() for item in re.sub(r"\s+", " ", SCHEMAS[name]).strip().split(", ")]
+        named = {column for column, _ in columns}
+        if "office_id" in named and ("organization_id" in named or any(kind == "date" for _, kind in columns)):
+            moved[name] = ", ".join(_column_of_office(*column) for column in columns)
+
+    def of_base(found: re.Match) -> str:
+        return f"{found[1]} base_{found[2]}" if found[2] in moved else found[0]
+
+    out = {}
+    for name, text in texts.items():
+        text = _SOURCE.sub(of_base, text)
+        if name in moved:
+            out[f"base_{name}"] = text
+            text = f"SELECT {moved[name]} FROM base_{name}"
+        out[name] = text
+    return out
+
+
+FIXTURE_SQL = _for_each_office(FIXTURE_SQL)
+
 
 def sources_of(sql: str) -> list[str]:
     """Names of the fixture and supplied tables a text reads, in order of first use."""

@@ -14,7 +14,7 @@ _opened: dict[tuple[str, str], Tables] = {}
 
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Columns and types of the declared layout."""
-    layout = [item.strip().split(" ", 1) for item in SCHEMAS[name].replace("\n", " ").split(", ")]
+    layout = [item.strip().split(" ", 1) for item in SCHEMAS[name.removeprefix("base_")].replace("\n", " ").split(", ")]
     return df.select(*[df[column].cast(kind) for column, kind in (" ".join(i).split() for i in layout)])
 
 
@@ -32,7 +32,8 @@ def derived_tables(spark: SparkSession, sf_dir: str) -> Tables:
         if name not in staged:
             text = FIXTURE_SQL[name]
             inputs = {source: open_one(source) for source in sources_of(text)}
-            staged[name] = stage.save(name, conform(spark.sql(with_placeholders(text), **inputs), name))
+            rows = conform(spark.sql(with_placeholders(text), **inputs), name)
+            staged[name] = rows if name.startswith("base_") else stage.save(name, rows)
         return staged[name]
 
     tables = Tables(open_one)

@@ -174,11 +174,11 @@ PARTS = {
     "heads": "SELECT DISTINCT p.office_id, p.batch FROM postings p",
 }
 
-_MASTERS = """SELECT h.office_id||'-20010716-'||h.batch voucher_key, r.organization_id, h.office_id, r.business_date trx_date,
+_MASTERS = """SELECT h.office_id||'-'||strftime(r.business_date,'%Y%m%d')||'-'||h.batch voucher_key, r.organization_id, h.office_id, r.business_date trx_date,
           concat_ws('/', CASE WHEN h.batch=(SELECT min(batch) FROM heads x WHERE x.office_id=h.office_id) THEN n.voucher_no
             ELSE substr(n.voucher_no,1,length(n.voucher_no)-4)||year(r.business_date) END, h.batch) voucher_no, 'CA' voucher_type, 0 is_posted, 1 is_auto_voucher
         FROM heads h JOIN run_control r ON r.office_id=h.office_id LEFT JOIN picked_numbers n ON n.office_id=h.office_id"""
-_DETAILS = "SELECT office_id||'-20010716-'||batch voucher_key, rule, acc_id, credit, debit, narration FROM postings"
+_DETAILS = "SELECT l.office_id||'-'||strftime(r.business_date,'%Y%m%d')||'-'||batch voucher_key, rule, acc_id, credit, debit, narration FROM postings l JOIN run_control r ON r.office_id=l.office_id"
 
 TEXTS = {
     "voucher_postings": "SELECT * FROM postings",

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import validations
+from ledgerloom.operators import adjustments, start_of_day, validations
 from ledgerloom.plans import processes
 
 
@@ -21,7 +21,8 @@ def test_start_of_day(tables):
     assert _unique(after.daily_loan_trx, "daily_loan_trx_id")
     assert after.daily_loan_trx.filter("trx_type <> 10").count() == 0
     assert after.loan_summary.count() == tables.loan_summary.count()
-    opened = after.process_info.filter(F.col("business_date") == "2001-07-16").select("office_id").distinct().count()
+    run = tables.run_control.select("office_id", "business_date")
+    opened = after.process_info.join(run, ["office_id", "business_date"], "left_semi").select("office_id").distinct().count()
     assert opened == tables.run_control.count()
 
 
@@ -115,3 +116,25 @@ def test_passing_offices(tables):
     left = validations.passing_offices(tables, report).run_control
     failing = report.filter("ok = 0").select("office_id").distinct().count()
     assert left.count() == tables.run_control.count() - failing
+
+
+def test_offices_differ_in_date_and_organization(tables):
+    run = tables.run_control.collect()
+    assert len({r.business_date for r in run}) >= 3 and len({r.month_end_date for r in run}) >= 2
+    assert {4, 5, 12, 54} < {r.organization_id for r in run}
+
+
+def test_each_organization_branch_selects_rows(tables):
+    run = tables.run_control.select("office_id", F.col("organization_id").alias("org"))
+
+    def organizations(df):
+        return {r.org for r in df.join(run, "office_id").select("org").distinct().collect()}
+
+    assert organizations(adjustments.overpaid_loans(tables)) == {adjustments.EXCESS_TO_SAVINGS_ORGANIZATION}
+    before = tables.daily_loan_trx.select("daily_loan_trx_id", F.col("int_charge").alias("was"))
+    stopped = start_of_day.stop_charge(tables).join(before, "daily_loan_trx_id").filter("int_charge <> was")
+    assert organizations(stopped) == {start_of_day.STOP_CHARGE_ORGANIZATION}
+    t = adjustments.without_adjustments(tables)
+    excess = adjustments.shifts(t, adjustments.day_sums(t), 4)[-1]
+    found = organizations(excess)
+    assert found and adjustments.NO_EXCESS_RULE_ORGANIZATION not in found
