@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
     boosted_trees,
+    conversation_trie,
     decontamination,
     discriminant,
     packing,
+    periodic_runs,
     simhash,
     substrings,
     token_counts,
@@ -82,6 +85,46 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("kept_text", "text_crc")
 
 
+def with_periods(doc_id: int | None, text: bytes | None) -> list[bytes]:
+    """A document's words; in a tenth of the documents a stretch to the end is made periodic."""
+    words = periodic_runs.blank_words(doc_id, text)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(load(spark, sf_dir, "documents"), words_of=with_periods)
+    return found.drop("runs")
+
+
+# a conversation begins with up to FAMILY_TURNS - 1 turns of the first conversation of its family
+FAMILY, FAMILY_TURNS = 20, 4
+
+
+def in_families(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rebuilt conversations' turns, and all conv_ids: conversations may have lost their last turn."""
+    held = stage(turns.sparkSession, "families")
+    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "digest")
+    ranked = held.save("ranked", turns.withColumn("turn", F.row_number().over(order).cast("long")))
+    taken = F.crc32(F.col("conv_id").cast("string")) % FAMILY_TURNS
+    ids = ranked.where("turn = 1").select("conv_id")
+    heads = ranked.where((F.col("conv_id") % FAMILY == 0) & (F.col("turn") < FAMILY_TURNS))
+    heads = heads.withColumnRenamed("conv_id", "head")
+    first = ids.join(heads, F.col("conv_id") - F.col("conv_id") % FAMILY == F.col("head")).where(F.col("turn") <= taken)
+    own = ranked.where(F.col("turn") > taken)
+    return first.select(*ranked.columns).union(own), ids
+
+
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, ids = in_families(conversation_trie.turn_digests(load(spark, sf_dir, "conversations")))
+    return conversation_trie.prefix_trie(turns, ids)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_token_counts": op2_token_counts,
@@ -93,4 +136,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_id_output": op9_token_id_output,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
 }
