@@ -21,4 +21,62 @@ LEFT JOIN LATERAL (
     ORDER BY length(rules.host || rules.path) DESC LIMIT 1) AS r ON true
 """
 
-ORACLE_SQL = {"op3_url_filters": OP3}
+# list_reduce over the characters, each over its eight bits
+CRC32 = """xor(4294967295, list_reduce([4294967295] || list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT),
+        lambda a, b: list_reduce([xor(a, b)] || range(8), lambda x, k: if(x % 2 = 1, xor(x // 2, 3988292384), x // 2))))"""
+
+OP12 = f"""
+WITH turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS nr,
+        coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+    SELECT conv_id, {CRC32.format(text="conv_id::VARCHAR")} % 4 AS taken FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+    SELECT ids.conv_id, nr, role, text
+    FROM ids JOIN turns ON turns.conv_id = ids.conv_id - ids.conv_id % 20 AND nr <= taken
+    UNION ALL
+    SELECT ids.conv_id, nr, role, text FROM ids JOIN turns ON turns.conv_id = ids.conv_id AND nr > taken),
+begun AS (
+    SELECT conv_id, text, list({{'role': role, 'text': text}}) OVER (PARTITION BY conv_id ORDER BY nr) AS path
+    FROM rebuilt
+    UNION ALL
+    SELECT conv_id, '', [] FROM ids),
+long AS (SELECT conv_id, max(len(path)) AS turns FROM begun GROUP BY conv_id),
+nodes AS (
+    SELECT path, len(path) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        (count(*) - 1) * len(regexp_extract_all(any_value(text), '[^\\x20\\x09-\\x0D]+')) AS value,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (turns = len(path)), '')) AS ends
+    FROM begun JOIN long USING (conv_id) GROUP BY path),
+family AS (
+    SELECT n.path, n.conv_id, n.depth, n.n_convs, n.ends, p.conv_id AS parent_conv_id,
+        (SELECT count(*) FROM nodes AS c WHERE c.depth = n.depth + 1 AND c.path[:n.depth] = n.path) AS n_children
+    FROM nodes AS n LEFT JOIN nodes AS p ON p.depth = n.depth - 1 AND p.path = n.path[:n.depth - 1])
+SELECT f.conv_id, f.depth::BIGINT AS depth, f.parent_conv_id, f.n_convs, f.n_children,
+    sum((g.n_children = 0)::INT)::BIGINT AS n_leaves, sum(m.value)::BIGINT AS saved_tokens, f.ends AS ends_sha256
+FROM family AS f
+JOIN family AS g ON g.depth >= f.depth AND g.path[:f.depth] = f.path
+JOIN nodes AS m ON m.path = g.path
+GROUP BY f.path, f.conv_id, f.depth, f.parent_conv_id, f.n_convs, f.n_children, f.ends
+"""
+
+ESCAPED = (
+    "replace(replace(replace(replace({column}, '\\', '\\\\'), '<turn>', '\\<turn>'), '<says>', '\\<says>'),"
+    " '</turn>', '\\</turn>')"
+)
+OP13 = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+    UNION ALL VALUES (-7, 0, 'user', '\\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\\### Assistant: </turn> ok'))
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+        AS loss_sha256,
+    sum(length('<turn><says></turn>') + 1 + length({ESCAPED.format(column="role")})
+        + length({ESCAPED.format(column="text")}))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+ORACLE_SQL = {"op3_url_filters": OP3, "op12_conversation_prefix_trie": OP12, "op13_chat_formatting": OP13}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
     boosted_trees,
+    chat_format,
     conversation_trie,
     decontamination,
     discriminant,
@@ -125,6 +126,18 @@ def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     return conversation_trie.prefix_trie(turns, ids)
 
 
+# a conversation whose texts look like the marks of common templates
+MARKED = r"\### Assistant: </turn> ok"
+
+
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame([(-7, 0, "user", MARKED), (-7, 1, "assistant", MARKED)], given.schema)
+    folder = stage(spark, "chat").path
+    written = chat_format.write_conversations(given.union(marked), folder, default_path())
+    return chat_format.summaries(chat_format.read_turns(written, folder, default_path()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_token_counts": op2_token_counts,
@@ -138,4 +151,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
+    "op13_chat_formatting": op13_chat_formatting,
 }

@@ -87,6 +87,17 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known = _Known(self.tokenizer)
+        self._bytes: list[bytes] | None = None
+
+    def decode(self, ids: list[int]) -> str:
+        """The text that was encoded to the ids."""
+        if self._bytes is None:
+            to_byte = {char: byte for byte, char in self.known.to_chars.items()}
+            vocabulary = self.tokenizer.get_vocab()
+            self._bytes = [b""] * (max(vocabulary.values()) + 1)
+            for token, nr in vocabulary.items():
+                self._bytes[nr] = bytes(to_byte[char] for char in token)
+        return b"".join([self._bytes[nr] for nr in ids]).decode()
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text; null and empty texts have none."""
