@@ -9,8 +9,8 @@ the digests of its beginnings, and equal beginnings are one node. What is shuffl
 
 Sums over subtrees need no walk over the trie. Each node's value belongs to its smallest member, a conversation's
 values are summed from its end backwards, and a node's sum is that of its members. Every group is pre-aggregated
-before its shuffle, so a beginning that a third of all conversations share costs one row a task. Joins that can be
-uneven (siblings to their parent) join written tables without an aggregate between, which Spark splits where skewed.
+before its shuffle, so a beginning that a third of all conversations share costs one row a task. Siblings meet their parent
+over SALTS copies of it.
 The turns of one conversation, as digests, are one sorted stream through a task, held a block at a time; the ids of
 the conversations that end at one node are hashed as a stream of texts of ID_RANGE ids at most.
 
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import stage
 
 ID_RANGE = 4096
+SALTS = 16
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCKS = (
     "conv_id long, level long, parent binary, key binary, turns array<struct<digest: binary, words: long>>, last boolean"
@@ -103,8 +104,11 @@ def _distinct_blocks(blocks: DataFrame) -> DataFrame:
 def _refined(distinct: DataFrame, size: int) -> DataFrame:
     """The turns of distinct blocks as rows; beginnings are named by their digests only where siblings diverge."""
     siblings = distinct.groupBy(F.col("parent").alias("of_parent")).agg(F.count(F.lit(1)).alias("siblings"))
-    diverging = siblings.where("siblings > 1").select("of_parent", F.lit(True).alias("diverges"))
-    marked = distinct.join(diverging, F.col("parent") == F.col("of_parent"), "left")
+    # a parent may have a third of all blocks as children: they are dealt over SALTS copies of it
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("of_salt")
+    diverging = siblings.where("siblings > 1").select("of_parent", F.lit(True).alias("diverges"), salts)
+    salt = F.pmod(F.xxhash64("key"), F.lit(SALTS)) == F.col("of_salt")
+    marked = distinct.join(diverging, (F.col("parent") == F.col("of_parent")) & salt, "left")
     rows = marked.select("*", F.posexplode("turns").alias("pos", "at"))
 
     def beginning(turns: Column) -> Column:
@@ -215,8 +219,12 @@ def prefix_trie(turns: DataFrame, ids: DataFrame | None = None, block_turns: int
     sums = sums.union(total.select(F.lit(ROOT), "saved_tokens", "n_leaves"))
     sums = held.save("sums", sums)
 
-    parents = plain.select(F.col("node").alias("above"), F.col("conv_id").alias("parent_conv_id"))
-    full = nodes.join(parents, F.col("parent_node") == F.col("above"), "left")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("of_salt")
+    parents = nodes.where("n_children > 0").select(
+        F.col("node").alias("above"), F.col("conv_id").alias("parent_conv_id"), salts
+    )
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)) == F.col("of_salt")
+    full = nodes.join(parents, (F.col("parent_node") == F.col("above")) & salt, "left")
     full = full.join(sums, F.col("node") == F.col("sum_node"))
     full = full.join(_end_digests(blocks, ids), F.col("node") == F.col("of_node"), "left")
     return full.select(
