@@ -8,7 +8,7 @@ plan has about as many combinations as there are lengths. Pieces then get number
 (length, bucket), and look up their place; a length that a third of all pieces have is spread over all buckets.
 
 A null text counts as empty. Every row is packed, repeated rows and rows with null doc_id too. An empty table gives
-an empty result. Columns other than the two read are ignored.
+an empty result. Columns other than the two read are ignored. A long text's ids are in one task's memory at once.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stage, texts
+from ledgerloom.llm.common import small_batches, stage, texts
 from ledgerloom.llm.tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -33,7 +33,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 204
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer).encode, int(end_id).to_bytes(4, "little")
-        for batch in batches:
+        for batch in small_batches(batches):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = encode(text) + end

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm.common import texts
+from ledgerloom.llm.common import small_batches, texts
 from ledgerloom.llm.tokens import encoder
 
 SEQUENCES_PER_BATCH = 64
@@ -94,9 +94,7 @@ def write_token_files(
         paths = _names(root, part)
         held = [f"{root}/.{attempt}.{i}" for i in range(2)]
         sinks, writer, index, n_docs = [], None, None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in small_batches(batches, 2048):
             if writer is None:
                 store.create_dir(root, recursive=True)
                 sinks = [store.open_output_stream(path) for path in held]

@@ -1,10 +1,11 @@
-"""Token ids of a public tokenizer, remembered per word.
-
-The vocabulary is byte-level BPE and the library cuts a text into pre-tokens before any merge. No pre-token runs from
-a character that isn't white space into white space, so a text may be cut before a blank that follows such a
-character: each word with the blank before it gives the same ids alone as in the whole text. Words repeat, so a task
-asks the tokenizers library for each word once and looks it up afterwards. The memory is emptied when it has grown to
-CACHE_WORDS entries; that changes the time, never the ids.
+"""Token ids of a public tokenizer, remembered per pre-token.
+
+The vocabulary is byte-level BPE and the library cuts a text into pre-tokens before any merge. Texts made of plain
+letters, digits, signs, single blanks and single line feeds are cut here by the same rule, and the model of the
+tokenizers library merges each different pre-token once for as long as it is remembered. Any other text is cut before
+blanks that follow a character other than white space, where no pre-token crosses, and only the words that aren't
+plain go through the whole library. What is remembered lies in two generations of GENERATION entries: a full one
+becomes the old one, and what is asked for again moves to the new one. That changes the time, never the ids.
 """
 
 from __future__ import annotations
@@ -14,12 +15,14 @@ import re
 
 import numpy as np
 
-CACHE_WORDS = 700_000
-WORD_CHARS = 64
+GENERATION = 300_000
+PIECE_CHARS = 64
 LONG_CHARS = 4096
 
-# Pre-tokens of the ranges in which Unicode's letters, digits and signs are settled.
-PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ʯ]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n(?=\S)")
+# The library's pre-tokens, in the ranges in which Unicode's letters, digits and signs are settled. Fixed values.
+PLAIN = re.compile(
+    r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zÀ-ÖØ-öø-ʯ]+| ?[0-9]+| ?[!-/:-@\[-`{-~]+|\n(?=[!-~À-ÖØ-öø-ʯ])"
+)
 
 _encoders: dict[str, Encoder] = {}
 
@@ -30,51 +33,43 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class _Unsafe(Exception):
-    """A word that ends in white space, so that the blank after it is no place to cut."""
+class _Memory(dict):
+    """Two generations of what was found for short strings."""
 
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.old.get(text)
+        if ids is None:
+            ids = self.find(text)
+        if len(text) <= PIECE_CHARS:
+            if len(self) >= GENERATION:
+                self.old.clear()
+                self.old.update(self)
+                self.clear()
+            self[text] = ids
+        return ids
 
-class _Known(dict):
-    """Word to the ids of a blank and the word; an unknown word is encoded when it is first asked for."""
+
+class _Merges:
+    """The ids of a pre-token, by the tokenizer's model."""
 
     def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
         self.model = tokenizer.model
         printable = set(tokenizer.pre_tokenizer.alphabet())
         rest = iter(sorted(printable - {chr(b) for b in range(256)}))  # for bytes without a character, in byte order
         self.to_chars = {b: chr(b) if chr(b) in printable else next(rest) for b in range(256)}
-        self.blank = self.to_chars[32]
-
-    def __missing__(self, word: str) -> bytes:
-        if not word or word[-1].isspace():
-            raise _Unsafe
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        ids = self.whole(" " + word)
-        if len(word) <= WORD_CHARS:
-            self[word] = ids
-        return ids
-
-    def whole(self, text: str) -> bytes:
-        """The ids of a text that is a word with what stands before it, or any other text."""
-        if text.isascii() and text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
-            return self.ids(self.model.tokenize(text.replace(" ", self.blank)))
-        if len(text) <= WORD_CHARS:
-            found = PLAIN.findall(text)
-            if sum(map(len, found)) == len(text):
-                return b"".join(map(self.piece, found))
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def piece(self, piece: str) -> bytes:
-        """The merges of the library's model over one pre-token."""
-        if piece[0] == " " and piece[1:] in self:
-            return self[piece[1:]]
-        return self.ids(self.model.tokenize(piece.encode().decode("latin-1").translate(self.to_chars)))
+        self.blank, self.feed = self.to_chars[32], self.to_chars[10]
 
-    @staticmethod
-    def ids(tokens) -> bytes:
-        return b"".join([token.id.to_bytes(4, "little") for token in tokens])
+    def __call__(self, piece: str) -> bytes:
+        if piece.isascii():
+            chars = piece.replace(" ", self.blank).replace("\n", self.feed)
+        else:
+            chars = piece.encode().decode("latin-1").translate(self.to_chars)
+        return b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(chars)])
 
 
 class Encoder:
@@ -86,13 +81,14 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known = _Known(self.tokenizer)
+        self.merges = _Merges(self.tokenizer)
+        self.known = _Memory(self.merges)
         self._bytes: list[bytes] | None = None
 
     def decode(self, ids: list[int]) -> str:
         """The text that was encoded to the ids."""
         if self._bytes is None:
-            to_byte = {char: byte for byte, char in self.known.to_chars.items()}
+            to_byte = {char: byte for byte, char in self.merges.to_chars.items()}
             vocabulary = self.tokenizer.get_vocab()
             self._bytes = [b""] * (max(vocabulary.values()) + 1)
             for token, nr in vocabulary.items():
@@ -103,31 +99,43 @@ class Encoder:
         """The ids of a whole text; null and empty texts have none."""
         if not text:
             return b""
-        first, *words = text.split(" ")
-        if not words:
-            return b"".join(self._whole(part) for part in self._long_parts(text))
-        last = words.pop()
-        try:
-            if first and first[-1].isspace():
-                raise _Unsafe
-            found = list(map(self.known.__getitem__, words))
-        except _Unsafe:
-            return b"".join(self._whole(part) for part in self._long_parts(text))
-        return self.known.whole(first) * bool(first) + b"".join(found) + self.known.whole(" " + last)
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _long_parts(self, text: str):
-        """A text in parts of some LONG_CHARS, cut before a blank that follows a character other than white space."""
-        start, at = 0, LONG_CHARS
-        while 0 < (at := text.find(" ", at)):
-            if not text[at - 1].isspace():
-                yield text[start:at]
-                start, at = at, at + LONG_CHARS
+        ids = self._plain(text)
+        return b"".join(map(self._part, self._parts(text))) if ids is None else ids
+
+    def _plain(self, text: str) -> bytes | None:
+        pieces = PLAIN.findall(text)
+        if len("".join(pieces)) != len(text):
+            return None
+        return b"".join(map(self.known.__getitem__, pieces))
+
+    def _part(self, part: str) -> bytes:
+        ids = self._plain(part)
+        if ids is None:
+            ids = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return ids
+
+    def _parts(self, text: str):
+        """A text in stretches of plain words and stretches of others, some LONG_CHARS long at most where blanks allow it.
+
+        A cut lies before a blank that follows a character other than white space.
+        """
+        held, plain, size = [], True, 0
+        first = True
+        for word in text.split(" "):
+            # a word after white space, or ending in it, stays with what is before it
+            joined = not first and (not held[-1] or held[-1][-1].isspace())
+            fits = bool(word) and len("".join(PLAIN.findall(word))) == len(word)
+            if not first and not joined and (fits != plain or size > LONG_CHARS):
+                yield "".join(held)
+                held, size, plain = [], 0, fits
+            elif first:
+                plain = fits
             else:
-                at += 1
-        yield text[start:]
+                plain = plain and fits
+            held.append(word if first else " " + word)
+            size += len(held[-1])
+            first = False
+        yield "".join(held)
 
 
 def encoder(path: str) -> Encoder:
