@@ -26,6 +26,7 @@ from ledgerloom.operators import (
 from ledgerloom.operators.changes import products_of, with_run
 from ledgerloom.plans import processes
 from ledgerloom.sources.fixtures import derived_tables
+from ledgerloom.sources import store
 from ledgerloom.sources.staging import Stage
 from ledgerloom.sources.tables import Tables
 
@@ -83,6 +84,7 @@ _LOAN_TRX = (
     "loan_summary_id office_id member_id product_id trx_date:d installment_date:d principal_loan:m loan_paid:m "
     "loan_due:m int_due:m int_charge:m int_paid:m trx_type installment_no"
 )
+_DUES = "loan_summary_id installment_date:d loan_paid:m int_paid:m int_charge:m loan_due:m int_due:m"
 _ACCOUNT = "saving_summary_id office_id center_id member_id product_id no_of_account"
 _SAVING_STATE = "saving_summary_id saving_status closing_date:d transaction_date:d"
 _LINE = "office_id rule:s batch voucher_category:s acc_id credit:m debit:m narration:s"
@@ -221,7 +223,7 @@ def _ledger_of_day(t: Tables) -> DataFrame:
     """Active lines of the run date with their voucher."""
     run = t.run_control.select("office_id", F.col("business_date").alias("trx_date"))
     masters = t.acc_trx_master.filter("is_active = 1").drop("is_active").join(run, ["office_id", "trx_date"], "left_semi")
-    return masters.join(t.acc_trx_detail.filter("is_active = 1").drop("is_active"), "trx_master_id")
+    return masters.join(t.acc_trx_detail.filter("is_active = 1").drop("is_active"), ["trx_master_id", "trx_date"])
 
 
 def _closable(t: Tables) -> DataFrame:
@@ -238,6 +240,36 @@ def _interest(t: Tables) -> DataFrame:
     return month_close.savings_interest(t, month_close.final_balances(t))
 
 
+# ---------------------------------------------------------------- stored runs
+
+_DAY_TABLES = (
+    "offices run_control centers member_categories products product_mappings members loan_summary daily_loan_trx loan_trx "
+    "saving_summary daily_saving_trx saving_trx acc_chart accounting_interface acc_trx_master acc_trx_detail holidays "
+    "process_info expire_infos family_grace transfer_history miscellaneous application_settings auto_voucher_check "
+    "acc_last_voucher collection_loan_savings"
+).split()
+
+
+def _stored_day_end(t: Tables) -> Tables:
+    """The day closed on a stored ledger, committed, and read back."""
+    spark = t.run_control.sparkSession
+    opened = store.create(spark, Stage(spark, "ledger").path, t, _DAY_TABLES)
+    return store.store(opened, processes.day_end(opened.tables, enforce=False).tables, "day_end").tables
+
+
+def _stored_interest(t: Tables) -> DataFrame:
+    """The month's interest stored twice over rows of the month before and stale rows of the month."""
+    spark = t.run_control.sparkSession
+    final = _staged(t, "interest", month_close.final_interest(t, _interest(t)))
+    earlier = final.withColumns({"interest": F.lit(0).cast("decimal(18,2)"), "transaction_date": F.add_months("transaction_date", -1)})
+    stale = final.withColumn("interest", F.lit(999).cast("decimal(18,2)"))
+    t = t.replace(month_wise_saving_interest=earlier.unionByName(stale))
+    opened = store.create(spark, Stage(spark, "interest").path, t, ["run_control", "month_wise_saving_interest"])
+    for _ in range(2):
+        opened = store.store(opened, opened.tables.replace(month_wise_saving_interest=final), "month_close")
+    return opened.tables.month_wise_saving_interest
+
+
 _BALANCE = f"{_ACCOUNT} transaction_date:d balance:m"
 
 QUERIES: dict[str, Query] = {
@@ -449,6 +481,19 @@ QUERIES: dict[str, Query] = {
         "cur_loan_due:m cur_int_due:m",
         lambda t: processes.day_end(t, enforce=False).tables.loan_summary,
     ),
+    "run_day_end_history": Query(_DUES, lambda t: processes.day_end(t, enforce=False).tables.loan_trx),
+    # stored runs
+    "store_day_end": Query(
+        "loan_summary_id loan_status loan_close_date:d principal_loan:m loan_repaid:m int_paid:m int_charge:m cur_loan:m",
+        lambda t: _stored_day_end(t).loan_summary,
+    ),
+    "store_day_end_history": Query(_DUES, lambda t: _stored_day_end(t).loan_trx),
+    "store_day_end_archive": Query(
+        "summary_id office_id center_id member_id product_id loan_paid:m deposit:m withdrawal:m collection_date:d "
+        "is_uploaded",
+        lambda t: _stored_day_end(t).collection_loan_savings_history,
+    ),
+    "mon_store_interest": Query(f"{_ACCOUNT} balance:m interest:m transaction_date:d", _stored_interest),
     "run_month_close": Query(
         f"{_ACCOUNT} balance:m interest:m transaction_date:d",
         lambda t: processes.month_close(t, enforce=False).tables.month_wise_saving_interest,

@@ -28,8 +28,8 @@ def day_ledger(t: Tables) -> DataFrame:
         .filter(F.col("trx_date") == F.col("run_date"))
         .select("trx_master_id", "office_id", "trx_date", "voucher_no", "voucher_type")
     )
-    lines = t.acc_trx_detail.filter("is_active = 1").drop("is_active")
-    return lines.join(masters, "trx_master_id").join(t.acc_chart.select("acc_id"), "acc_id")
+    lines = on_run_date(t.acc_trx_detail.filter("is_active = 1").drop("is_active"), t, "trx_date")
+    return lines.join(masters, ["trx_master_id", "trx_date"]).join(t.acc_chart.select("acc_id"), "acc_id")
 
 
 def _cash_account(t: Tables) -> DataFrame:
@@ -74,7 +74,9 @@ def cash_close(t: Tables) -> DataFrame:
 
 
 def flush_cash(t: Tables, cash: DataFrame) -> Tables:
-    """The cash vouchers of :func:`cash_close` and their lines in the ledger, with hashes of their keys as numbers."""
+    """The cash vouchers of :func:`cash_close` and their lines in the ledger, with hashes of their keys as numbers.
+
+    Those of an earlier close of the same day are replaced."""
     keyed = (
         cash.withColumn("trx_master_id", F.xxhash64("voucher_key"))
         .withColumn("trx_details_id", F.xxhash64("voucher_key", "acc_id"))
@@ -83,9 +85,14 @@ def flush_cash(t: Tables, cash: DataFrame) -> Tables:
         .withColumn("is_auto_voucher", F.lit(0))
         .withColumn("is_active", F.lit(1))
     )
+    # a repeated close replaces its vouchers; keys are sought among the run dates' rows only
+    made = keyed.select("trx_master_id", "trx_date").distinct()
+    masters, details = (
+        df.join(made, ["trx_master_id", "trx_date"], "left_anti") for df in (t.acc_trx_master, t.acc_trx_detail)
+    )
     return t.replace(
-        acc_trx_master=t.acc_trx_master.unionByName(keyed.select(*t.acc_trx_master.columns)),
-        acc_trx_detail=t.acc_trx_detail.unionByName(keyed.select(*t.acc_trx_detail.columns)),
+        acc_trx_master=masters.unionByName(keyed.select(*t.acc_trx_master.columns)),
+        acc_trx_detail=details.unionByName(keyed.select(*t.acc_trx_detail.columns)),
     )
 
 

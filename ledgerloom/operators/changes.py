@@ -66,6 +66,13 @@ def within_run(df: DataFrame, t: Tables, column: str, earliest: Column, latest:
     return df.filter((F.col(column) >= low) & (F.col(column) <= high))
 
 
+def split_by_run_date(df: DataFrame, t: Tables, column: str) -> tuple[DataFrame, DataFrame]:
+    """The rows in the range of the run's business dates, and all others."""
+    low, high = (t.run_control.agg(bound("business_date")).scalar() for bound in (F.min, F.max))
+    inside = (F.col(column) >= low) & (F.col(column) <= high)
+    return df.filter(inside), df.filter(~F.coalesce(inside, F.lit(False)))
+
+
 def on_run_date(df: DataFrame, t: Tables, column: str) -> DataFrame:
     """Narrow a history table to the range of the run's business dates."""
     return within_run(df, t, column, F.min("business_date"), F.max("business_date"))

@@ -119,12 +119,12 @@ def day_end_report(t: Tables) -> DataFrame:
         on_run_date(t.acc_trx_master.filter("is_active = 1"), t, "trx_date")
         .join(run, "office_id")
         .filter(F.col("trx_date") == F.col("run_date"))
-        .select("trx_master_id", "office_id", "voucher_type")
+        .select("trx_master_id", "trx_date", "office_id", "voucher_type")
     )
     balanced = F.col("voucher_type").isin(*BALANCED_VOUCHERS)
     lines = (
-        t.acc_trx_detail.filter("is_active = 1")
-        .join(masters, "trx_master_id")
+        on_run_date(t.acc_trx_detail.filter("is_active = 1"), t, "trx_date")
+        .join(masters, ["trx_master_id", "trx_date"])
         .join(t.acc_chart.select("acc_id"), "acc_id")
         .groupBy("office_id")
         .agg(

@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from ledgerloom.functions.money import MONEY, RATE, WHOLE, nz
 from ledgerloom.functions.text import starts_with, voucher_with_last_year
 from ledgerloom.operators import voucher_rules as R
-from ledgerloom.operators.changes import on_run_date, products_of, set_where, with_run
+from ledgerloom.operators.changes import on_run_date, products_of, set_where, split_by_run_date, with_run
 from ledgerloom.sources.tables import Tables
 
 ALL_RULES = frozenset(R.GATE_OF_RULE)
@@ -525,9 +525,11 @@ def voucher_postings(t: Tables, amounts: DataFrame, only: Wanted = ALL_RULES) ->
 
 
 def void_previous(t: Tables) -> Tables:
-    """Today's earlier unposted automatic vouchers and their lines become inactive."""
+    """Today's earlier unposted automatic vouchers and their lines become inactive; other dates are only passed on."""
     run = _run(t).select("office_id", "run_date")
-    masters = t.acc_trx_master.join(run, "office_id", "left")
+    masters, older_masters = split_by_run_date(t.acc_trx_master, t, "trx_date")
+    lines, older_lines = split_by_run_date(t.acc_trx_detail, t, "trx_date")
+    masters = masters.join(run, "office_id", "left")
     earlier = (
         (F.col("trx_date") == F.col("run_date"))
         & (F.col("is_posted") == 0)
@@ -535,10 +537,10 @@ def void_previous(t: Tables) -> Tables:
         & (F.col("is_auto_voucher") == 1)
     )
     keys = masters.filter(earlier).select("trx_master_id", F.lit(1).alias("void"))
-    details = set_where(t.acc_trx_detail.join(keys, "trx_master_id", "left"), F.col("void") == 1, is_active=0)
+    details = set_where(lines.join(keys, "trx_master_id", "left"), F.col("void") == 1, is_active=0)
     return t.replace(
-        acc_trx_master=set_where(masters, earlier, is_active=0).select(*t.acc_trx_master.columns),
-        acc_trx_detail=details.select(*t.acc_trx_detail.columns),
+        acc_trx_master=set_where(masters, earlier, is_active=0).select(*older_masters.columns).union(older_masters),
+        acc_trx_detail=details.select(*older_lines.columns).union(older_lines),
     )
 
 
@@ -618,7 +620,7 @@ def flush_to_ledger(t: Tables, masters: DataFrame, details: DataFrame) -> Tables
     heads = heads.withColumn("trx_master_id", F.xxhash64("voucher_key", "vouchers_before")).withColumn("is_active", F.lit(1))
     line_key = F.xxhash64("trx_master_id", "rule", "acc_id", "credit", "debit", "narration")
     lines = (
-        details.join(heads.select("voucher_key", "trx_master_id"), "voucher_key")
+        details.join(heads.select("voucher_key", "trx_master_id", "trx_date"), "voucher_key")
         .withColumn("trx_details_id", line_key)
         .withColumn("is_active", F.lit(1))
     )

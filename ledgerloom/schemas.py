@@ -109,7 +109,7 @@ SCHEMAS: dict[str, str] = {
     voucher_type string, is_posted int, is_auto_voucher int, is_active int
     """,
     "acc_trx_detail": """
-    trx_details_id bigint, trx_master_id bigint, acc_id bigint, debit decimal(18,2),
+    trx_details_id bigint, trx_master_id bigint, trx_date date, acc_id bigint, debit decimal(18,2),
     credit decimal(18,2), narration string, is_active int
     """,
     "holidays": """
@@ -148,4 +148,14 @@ SCHEMAS: dict[str, str] = {
     loan_paid decimal(18,2), deposit decimal(18,2), withdrawal decimal(18,2), collection_date date,
     is_uploaded int
     """,
+    "collection_loan_savings_history": """
+    summary_id bigint, office_id bigint, center_id bigint, member_id bigint, product_id bigint,
+    loan_paid decimal(18,2), deposit decimal(18,2), withdrawal decimal(18,2), collection_date date,
+    is_uploaded int
+    """,
+    "month_wise_saving_interest": """
+    organization_id bigint, office_id bigint, center_id bigint, member_id bigint, product_id bigint,
+    balance decimal(18,2), interest decimal(18,2), transaction_date date, no_of_account int,
+    saving_summary_id bigint
+    """,
 }

@@ -174,10 +174,10 @@ FIXTURE_SQL: dict[str, str] = {
         CASE WHEN o_orderkey%21=0 THEN 0 ELSE 1 END is_active FROM orders JOIN members m ON m.member_id=o_custkey+1
     """,
     "acc_trx_detail": """
-        SELECT ok*10+ln trx_details_id, ok+1 trx_master_id, 1+(ok+ln)%40 acc_id, CAST(CASE WHEN ln%2=1 THEN q*10
+        SELECT ok*10+ln trx_details_id, ok+1 trx_master_id, m.trx_date, 1+(ok+ln)%40 acc_id, CAST(CASE WHEN ln%2=1 THEN q*10
         ELSE 0 END AS DECIMAL(18,2)) debit, CAST(CASE WHEN ln%2=0 THEN q*10 ELSE 0 END AS DECIMAL(18,2)) credit,
-        concat('n',ln) narration, CASE WHEN ok%27=0 THEN 0 ELSE 1 END is_active FROM (SELECT l_orderkey ok, l_linenumber
-        ln, CAST(sum(l_quantity) AS BIGINT) q FROM lineitem GROUP BY l_orderkey, l_linenumber) k
+        concat('n',ln) narration, CASE WHEN ok%27=0 THEN 0 ELSE 1 END is_active FROM acc_trx_master m JOIN (SELECT l_orderkey ok, l_linenumber
+        ln, CAST(sum(l_quantity) AS BIGINT) q FROM lineitem GROUP BY l_orderkey, l_linenumber) k ON m.trx_master_id=ok+1
     """,
     "holidays": """
         SELECT office_id, organization_id, CAST(NULL AS BIGINT) center_id, DATE '2001-07-16'-1 business_date,
@@ -272,6 +272,8 @@ def _for_each_office(texts: dict[str, str]) -> dict[str, str]:
 
 
 FIXTURE_SQL = _for_each_office(FIXTURE_SQL)
+# lines carry the date of their voucher as its office has it
+FIXTURE_SQL["acc_trx_detail"] = FIXTURE_SQL["acc_trx_detail"].replace("base_acc_trx_master", "acc_trx_master")
 
 
 def sources_of(sql: str) -> list[str]:

@@ -111,3 +111,7 @@ TEXTS = {
             AND e.center_id=u.center_id AND e.member_id=u.member_id AND e.expire_date>u.disburse_date)"""
     ),
 }
+
+TEXTS["mon_store_interest"] = f"""SELECT * FROM ({TEXTS["mon_interest_final"]}) a UNION ALL
+        SELECT b.* REPLACE (0 AS interest, CAST(transaction_date - INTERVAL 1 MONTH AS DATE) AS transaction_date)
+        FROM ({TEXTS["mon_interest_final"]}) b"""

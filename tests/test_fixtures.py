@@ -19,7 +19,7 @@ KEYS = {
     "saving_summary": ["saving_summary_id"],
     "daily_saving_trx": ["daily_saving_trx_id"],
     "saving_trx": ["saving_trx_id"],
-    "acc_chart": ["acc_code"],
+    "acc_chart": ["organization_id", "acc_code"],
     "accounting_interface": ["product_id", "trx_ind", "voucher_type"],
     "acc_trx_master": ["trx_master_id"],
     "acc_trx_detail": ["trx_details_id"],
@@ -32,7 +32,7 @@ KEYS = {
 @pytest.mark.parametrize("name", sorted(FIXTURE_SQL))
 def test_layout_and_count(name, tables, duck):
     df = getattr(tables, name)
-    layout = ["".join(item.split(" ", 1)[1]) for item in SCHEMAS[name].strip().replace("\n    ", " ").split(", ")]
+    layout = ["".join(item.split(" ", 1)[1]) for item in SCHEMAS[name.removeprefix("base_")].strip().replace("\n    ", " ").split(", ")]
     assert [kind for _, kind in df.dtypes] == layout
     parts: dict[str, str] = {}
     _needed(f"SELECT * FROM {name}", parts)
