@@ -20,6 +20,7 @@ from ledgerloom.operators import (
     month_close,
     reports,
     start_of_day,
+    totals,
     validations,
     vouchers,
 )
@@ -246,7 +247,7 @@ _DAY_TABLES = (
     "offices run_control centers member_categories products product_mappings members loan_summary daily_loan_trx loan_trx "
     "saving_summary daily_saving_trx saving_trx acc_chart accounting_interface acc_trx_master acc_trx_detail holidays "
     "process_info expire_infos family_grace transfer_history miscellaneous application_settings auto_voucher_check "
-    "acc_last_voucher collection_loan_savings"
+    "acc_last_voucher collection_loan_savings totals_until loan_totals"
 ).split()
 
 
@@ -462,6 +463,10 @@ QUERIES: dict[str, Query] = {
     "mon_accrual_trx": Query(_LOAN_TRX, month_close.accrual_trx),
     "mon_zero_past_duration": Query("loan_trx_id loan_due:m int_due:m", month_close.zero_past_duration),
     "mon_advance_date": Query("loan_summary_id installment_date:d", month_close.advance_date),
+    "mon_carry_totals": Query(
+        "loan_summary_id office_id principal_loan:m loan_due:m int_charge:m int_due:m installment_no",
+        lambda t: totals.carry_month(t).loan_totals,
+    ),
     "mon_zero_expired": Query("loan_trx_id loan_due:m int_due:m", month_close.zero_expired),
     # savings report
     "dstr_report": Query(

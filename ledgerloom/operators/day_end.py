@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import first_date, last_date, same_month
 from ledgerloom.functions.money import nz, zero
 from ledgerloom.functions.text import starts_with
+from ledgerloom.operators import totals
 from ledgerloom.operators.changes import (
     LOAN_KEYS,
     on_run_date,
@@ -227,7 +228,7 @@ def zero_repeat_due(t: Tables) -> DataFrame:
 def final_due(t: Tables) -> DataFrame:
     """A type-52 row per loan at its final instalment today, with all principal and interest not yet due.
 
-    History is narrowed to those loans before it is summed.
+    What history sums to comes from the running totals and the days since.
     """
     final = (
         with_run(t.loan_summary, t)
@@ -236,12 +237,11 @@ def final_due(t: Tables) -> DataFrame:
         )
         .select(*LOAN_KEYS, "member_category_id", "employee_id", "investor_id", "organization_id", "run_date")
     )
-    narrowed = with_run(t.loan_trx, t).filter(F.col("installment_date") <= F.col("run_date"))
-    narrowed = narrowed.join(final.select(*LOAN_KEYS), LOAN_KEYS, "left_semi")
-    history = narrowed.groupBy(*LOAN_KEYS).agg(
-        (F.sum("principal_loan") - F.sum("loan_due")).alias("h_loan_due"),
-        (F.sum("int_charge") - F.sum("int_due")).alias("h_int_due"),
-        F.max("installment_no").alias("h_no"),
+    history = totals.history_sums(t, final).select(
+        *LOAN_KEYS,
+        (F.col("principal_loan") - F.col("loan_due")).alias("h_loan_due"),
+        (F.col("int_charge") - F.col("int_due")).alias("h_int_due"),
+        F.col("installment_no").alias("h_no"),
     )
     return _filled(
         final.join(history, LOAN_KEYS),

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import accounts, adjustments, validations, vouchers
+from ledgerloom.operators import accounts, adjustments, totals, validations, vouchers
 from ledgerloom.operators import day_end as eod
 from ledgerloom.operators import month_close as mon
 from ledgerloom.operators import start_of_day as sod
@@ -207,7 +207,8 @@ def _not_of_run_date(t: Tables, df: DataFrame) -> DataFrame:
 def month_close(t: Tables, enforce: bool = True) -> Outcome:
     """Savings interest and loan accrual of the month.
 
-    The interest is ``month_wise_saving_interest`` and the accrual rows ``new_loan_trx`` in the returned set.
+    The interest is ``month_wise_saving_interest`` and the accrual rows ``new_loan_trx`` in the returned set; the closed
+    month is carried into the running totals of the loans.
     """
     stage = _stage(t, "month-close")
     report = stage.save("report", validations.month_end_report(t))
@@ -225,7 +226,8 @@ def month_close(t: Tables, enforce: bool = True) -> Outcome:
     t = t.replace(loan_trx=mon.zero_past_duration(t), loan_summary=mon.advance_date(t))
     t = _saved(t, stage, "dated", "loan_summary", "loan_trx")
     day_rows = mon.zero_expired(t)
-    t = t.replace(loan_trx=earlier.unionByName(day_rows), new_loan_trx=day_rows)
+    t = t.replace(loan_trx=earlier.unionByName(stage.save("day-rows", day_rows)), new_loan_trx=day_rows)
+    t = _saved(totals.carry_month(t), stage, "carried", "loan_totals", "totals_until")
     return Outcome(t, report)
 
 

@@ -158,4 +158,12 @@ SCHEMAS: dict[str, str] = {
     balance decimal(18,2), interest decimal(18,2), transaction_date date, no_of_account int,
     saving_summary_id bigint
     """,
+    "totals_until": """
+    office_id bigint, until date
+    """,
+    "loan_totals": """
+    office_id bigint, center_id bigint, member_id bigint, product_id bigint, loan_term int,
+    loan_summary_id bigint, principal_loan decimal(28,2), loan_due decimal(28,2),
+    int_charge decimal(28,2), int_due decimal(28,2), installment_no int
+    """,
 }

@@ -274,6 +274,16 @@ def _for_each_office(texts: dict[str, str]) -> dict[str, str]:
 FIXTURE_SQL = _for_each_office(FIXTURE_SQL)
 # lines carry the date of their voucher as its office has it
 FIXTURE_SQL["acc_trx_detail"] = FIXTURE_SQL["acc_trx_detail"].replace("base_acc_trx_master", "acc_trx_master")
+# totals reach the first of the run's month; an office in five has none yet
+FIXTURE_SQL["totals_until"] = """
+        SELECT office_id, CAST(date_trunc('month', business_date) AS DATE) until FROM run_control WHERE office_id%5<>4
+    """
+FIXTURE_SQL["loan_totals"] = """
+        SELECT h.office_id, h.center_id, h.member_id, h.product_id, h.loan_term, h.loan_summary_id, sum(h.principal_loan) principal_loan,
+        sum(h.loan_due) loan_due, sum(h.int_charge) int_charge, sum(h.int_due) int_due, max(h.installment_no) installment_no
+        FROM loan_trx h JOIN totals_until u ON u.office_id=h.office_id WHERE h.installment_date<u.until
+        GROUP BY h.office_id, h.center_id, h.member_id, h.product_id, h.loan_term, h.loan_summary_id
+    """
 
 
 def sources_of(sql: str) -> list[str]:

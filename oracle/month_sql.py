@@ -115,3 +115,9 @@ TEXTS = {
 TEXTS["mon_store_interest"] = f"""SELECT * FROM ({TEXTS["mon_interest_final"]}) a UNION ALL
         SELECT b.* REPLACE (0 AS interest, CAST(transaction_date - INTERVAL 1 MONTH AS DATE) AS transaction_date)
         FROM ({TEXTS["mon_interest_final"]}) b"""
+
+# the totals of a loan are the sums of its rows up to the month's end
+TEXTS["mon_carry_totals"] = """SELECT loan_summary_id, office_id, sum(principal_loan) principal_loan, sum(loan_due) loan_due,
+          sum(int_charge) int_charge, sum(int_due) int_due, max(installment_no) installment_no
+        FROM loan_trx JOIN run_control USING (office_id) WHERE installment_date<=month_end_date
+        GROUP BY office_id, center_id, member_id, product_id, loan_term, loan_summary_id"""

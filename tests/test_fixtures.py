@@ -19,6 +19,8 @@ KEYS = {
     "saving_summary": ["saving_summary_id"],
     "daily_saving_trx": ["daily_saving_trx_id"],
     "saving_trx": ["saving_trx_id"],
+    "totals_until": ["office_id"],
+    "loan_totals": ["loan_summary_id"],
     "acc_chart": ["organization_id", "acc_code"],
     "accounting_interface": ["product_id", "trx_ind", "voucher_type"],
     "acc_trx_master": ["trx_master_id"],
