@@ -65,8 +65,7 @@ def fit(
     """Logistic loss. Without rows of both labels, no tree: the score is then 1 - KEEP_AT at least, so nothing goes."""
     n, width = x.shape
     if n == 0 or y.min() == y.max():
-        base = 2.0 if n == 0 else float(np.where(y[0] > 0, 2.0, -2.0))
-        return Forest(base, np.zeros((0, 1), np.int64), np.zeros((0, 1)), np.zeros((0, 2)))
+        return Forest(2.0, np.zeros((0, 1), np.int64), np.zeros((0, 1)), np.zeros((0, 2)))
     edges = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, bins + 1)[1:-1])) for k in range(width)]
     binned = np.stack([np.searchsorted(edge, x[:, k], side="left") for k, edge in enumerate(edges)], axis=1)
     sign = np.array(monotone)

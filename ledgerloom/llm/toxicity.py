@@ -11,6 +11,7 @@ texts gets no weight, and neither does the term it is swapped for.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,13 +28,23 @@ FOLDS, HELD_OUT = 4, 2
 PREDICT_AT = 0.3
 SAMPLE_ROWS = 20_000
 FEATURES_KEPT = 4096
+FEATURES_LEAST, ROWS_A_FEATURE = 256, 4
 LEAST_ROWS = 4
 PREFIXES = (4, 5, 6)
-#: Neutral mentions of groups; a swap takes each for the next, and the last for the first.
-IDENTITY_TERMS = (
-    "women men girls boys muslims christians jews hindus buddhists atheists gay straight lesbian transgender "
-    "black white asian latino african european immigrants refugees foreigners disabled deaf blind old young"
-).split()
+#: Neutral mentions of groups by language, of one word or more. A swap takes each for the next of its language, and the
+#: last for the first.
+LEXICON = {
+    "en": "women, men, girls, boys, muslims, christians, jews, hindus, buddhists, atheists, gay people, straight people, "
+    "lesbian, transgender, black people, white people, asian, latino, african, european, immigrants, refugees, "
+    "foreigners, people with disabilities, deaf, blind, old people, young people",
+    "de": "frauen, männer, mädchen, jungen, muslime, christen, juden, hindus, schwule, lesben, schwarze menschen, "
+    "weiße menschen, einwanderer, geflüchtete, ausländer, menschen mit behinderung, alte menschen, junge menschen",
+    "fr": "femmes, hommes, filles, garçons, musulmans, chrétiens, juifs, hindous, gays, lesbiennes, personnes noires, "
+    "personnes blanches, immigrés, réfugiés, étrangers, personnes handicapées, personnes âgées, jeunes",
+    "es": "mujeres, hombres, niñas, niños, musulmanes, cristianos, judíos, hindúes, gais, lesbianas, personas negras, "
+    "personas blancas, inmigrantes, refugiados, extranjeros, personas con discapacidad, personas mayores, jóvenes",
+}
+SENTENCE_ENDS = re.compile(rb"[.!?\n]+")
 
 _WORDS = bytes(
     c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c > 127 else 32 for c in range(256)
@@ -50,12 +61,31 @@ def features_of(word: bytes) -> list[bytes]:
     return [word, *(word[:k] + b"*" for k in PREFIXES if len(word) >= k)]
 
 
-def swapped(words: set[bytes], terms: list[bytes]) -> list[set[bytes]]:
-    """The words with each identity term swapped for the next of the list, and without them; nothing if there is none."""
-    if words.isdisjoint(terms):
-        return []
-    after = dict(zip(terms, terms[1:] + terms[:1], strict=True))
-    return [{after.get(word, word) for word in words}, words.difference(terms)]
+class Swaps:
+    """Identity terms of several languages and what each is swapped for."""
+
+    def __init__(self, lexicon: dict[str, str]):
+        self.after: dict[bytes, bytes] = {}
+        for listed in lexicon.values():
+            terms = [term.strip().encode() for term in listed.split(",") if term.strip()]
+            for term, other in zip(terms, terms[1:] + terms[:1], strict=True):
+                self.after.setdefault(term, other)
+        longest_first = sorted(self.after, key=lambda term: (-len(term), term))
+        self.found = re.compile(rb"(?<![^ ])(?:" + b"|".join(map(re.escape, longest_first)) + rb")(?![^ ])")
+
+    def words(self) -> list[bytes]:
+        return sorted({word for term in self.after for word in term.split()})
+
+    def __call__(self, text: bytes | None) -> list[set[bytes]]:
+        """The words of the text with the terms of each sentence swapped, and without them; nothing if there is none."""
+        if not text or not self.after:
+            return []
+        sentences = [s.translate(_WORDS) for s in SENTENCE_ENDS.split(text)]
+        if not any(map(self.found.search, sentences)):
+            return []
+        changed = [self.found.sub(lambda m: self.after[m.group()], s) for s in sentences]
+        without = [self.found.sub(b"", s) for s in sentences]
+        return [set(b" ".join(some).split()) for some in (changed, without)]
 
 
 @dataclass
@@ -129,7 +159,11 @@ def fit(
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """text and label of the bounded sample. Ids are chosen from the labels first, so few texts are read on."""
+    """text and label of the bounded sample, ``sample`` rows at most however many rows share an id.
+
+    Ids are chosen from the labels first; there are ``sample`` of them at most, so they are broadcast and the texts of
+    all other documents go no further than their scan.
+    """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
         .groupBy("doc_id")
@@ -141,19 +175,20 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     chosen = known.join(present, known.doc_id == present.of_doc, "left_semi")
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     chosen = chosen.select(F.col("doc_id").alias("of_doc"), "label")
-    return own.join(chosen, own.doc_id == chosen.of_doc).select("text", "label")
+    rows = own.join(F.broadcast(chosen), own.doc_id == chosen.of_doc).select("text", "label", "doc_id")
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).select("text", "label")
 
 
 def train(
     docs: DataFrame,
     labels: DataFrame,
     sample: int = SAMPLE_ROWS,
-    terms: list[str] | None = None,
+    lexicon: dict[str, str] | None = None,
     swap_penalty: float = 10.0,
 ) -> Linear:
     """A model from the labelled rows outside the held-out fold; without any, one that scores every text low."""
     spark = docs.sparkSession
-    terms_b = [term.encode() for term in (IDENTITY_TERMS if terms is None else terms)]
+    swaps = Swaps(LEXICON if lexicon is None else lexicon)
     rows = stage(spark, "toxicity").save("training", training_rows(docs, labels, sample))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,18 +216,17 @@ def train(
         return Linear({}, np.zeros(0), -2.0 if not all1 else 2.0)
     p1, p0 = (F.col("n1") + 0.5) / (all1 + 1), (F.col("n0") + 0.5) / (all0 + 1)
     tells = F.abs(F.log(p1 / p0)) * F.abs(p1 - p0)
-    best = counts.where(F.col("n1") + F.col("n0") >= LEAST_ROWS).orderBy(tells.desc(), "feature").limit(FEATURES_KEPT)
+    best = counts.where(F.col("n1") + F.col("n0") >= LEAST_ROWS).orderBy(tells.desc(), "feature").limit(min(FEATURES_KEPT, max(FEATURES_LEAST, (all1 + all0) // ROWS_A_FEATURE)))
     chosen = [bytes(row.feature) for row in best.select("feature").collect()]
-    chosen = list(dict.fromkeys([*chosen, *(f for term in terms_b for f in features_of(term))]))
+    chosen = list(dict.fromkeys([*chosen, *(f for word in swaps.words() for f in features_of(word))]))
     model = Linear({f: k for k, f in enumerate(chosen)}, np.zeros(len(chosen)), 0.0)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own, other = [], []
             for text in as_bytes(batch.column("text")):
-                words = words_of(text)
-                own.append(sorted(model.rows(words)))
-                other.append([sorted(model.rows(after)) for after in swapped(words, terms_b)])
+                own.append(sorted(model.rows(words_of(text))))
+                other.append([sorted(model.rows(after)) for after in swaps(text)])
             kind = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(own, kind), pa.array(other, pa.list_(kind)), batch.column("label")],

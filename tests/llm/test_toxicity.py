@@ -42,10 +42,45 @@ def test_swaps_take_the_weight_from_identity_terms(spark):
 
 
 def test_swapped_words():
-    terms = [b"a", b"b"]
-    assert toxicity.swapped({b"a", b"x"}, terms) == [{b"b", b"x"}, {b"x"}]
-    assert toxicity.swapped({b"b"}, terms) == [{b"a"}, set()]
-    assert toxicity.swapped({b"x"}, terms) == []
+    swaps = toxicity.Swaps({"x": "a, b", "y": "old people, deaf, young old people"})
+    assert swaps(b"A x") == [{b"b", b"x"}, {b"x"}]
+    assert swaps(b"b") == [{b"a"}, set()]
+    assert swaps(b"x aa") == [] and swaps(None) == [] and swaps(b"") == []
+    assert swaps(b"Young old people!") == [{b"old", b"people"}, set()]
+    assert swaps(b"we are old. People b") == [{b"we", b"are", b"old", b"people", b"a"}, {b"we", b"are", b"old", b"people"}]
+    assert toxicity.Swaps({})(b"a") == []
+
+
+def test_an_id_of_many_rows_stays_within_the_sample(spark):
+    docs = documents(spark, [(1, f"text {k}") for k in range(300)] + [(k, "other") for k in range(2, 20)])
+    known = labels(spark, [(k, 1, k % 2) for k in range(20)])
+    assert toxicity.training_rows(docs, known, 50).count() == 50
+    assert {r.label for r in toxicity.training_rows(docs, known, 10).collect()} <= {0, 1}
+
+
+def test_penalty_removes_false_positives_on_neutral_mentions(spark):
+    """Mentions planted in toxic training texts, and in clean texts that are then scored."""
+    sf_dir = "/root/testdata/sf0.1"
+    known = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").join(known.select("doc_id", "toxic"), "doc_id")
+    group = F.element_at(F.array(*map(F.lit, ["Frauen", "gay people", "immigrés", "niñas"])), (F.col("doc_id") % 4 + 1).cast("int"))
+    biased = docs.withColumn("text", F.when(F.col("toxic") == 1, F.concat("text", F.lit(" So are "), group, F.lit("."))).otherwise(F.col("text")))
+    neutral = docs.where("toxic = 0").withColumn("text", F.concat(F.substring("text", 1, 200), F.lit(". We met "), group, F.lit(".")))
+    texts = [row.text.encode() for row in neutral.select("text").collect()]
+    rates = [
+        float((toxicity.train(biased, known, swap_penalty=penalty).score(texts) >= toxicity.PREDICT_AT).mean())
+        for penalty in (0.0, 10.0)
+    ]
+    assert rates[0] > 0.1 and rates[1] < rates[0] / 4, rates
+
+
+def test_few_rows(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    found = QUERIES["op6_toxicity"](spark, sf_dir).toPandas()
+    marks = spark.read.parquet(f"{sf_dir}/labels.parquet").toPandas().merge(found, on="doc_id")
+    held = marks[marks.held_out]
+    print(held[held.toxic == 1].predicted.mean(), held[held.toxic == 0].predicted.mean())
+    assert held[held.toxic == 1].predicted.mean() > 0.4
 
 
 def test_awkward_rows_and_filter(spark):
