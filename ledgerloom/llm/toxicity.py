@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import as_bytes, sigmoid, stage, texts
@@ -161,8 +161,9 @@ def fit(
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     """text and label of the bounded sample, ``sample`` rows at most however many rows share an id.
 
-    Ids are chosen from the labels first; there are ``sample`` of them at most, so they are broadcast and the texts of
-    all other documents go no further than their scan.
+    Ids are chosen from the labels first, by hash, as long as their rows fit. There are ``sample`` of them at most, so
+    they are broadcast and the texts of all other documents go no further than their scan. An id with more rows than
+    the whole sample is not learnt from.
     """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
@@ -171,12 +172,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
         .where(~held_out(FOLDS, HELD_OUT))
     )
     own = texts(docs)
-    present = own.select(F.col("doc_id").alias("of_doc")).distinct()
-    chosen = known.join(present, known.doc_id == present.of_doc, "left_semi")
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    chosen = chosen.select(F.col("doc_id").alias("of_doc"), "label")
-    rows = own.join(F.broadcast(chosen), own.doc_id == chosen.of_doc).select("text", "label", "doc_id")
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).select("text", "label")
+    present = own.groupBy(F.col("doc_id").alias("of_doc")).agg(F.count(F.lit(1)).alias("n_rows"))
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    chosen = known.join(present, known.doc_id == present.of_doc).where(F.col("n_rows") <= sample)
+    chosen = chosen.orderBy(*order).limit(sample)
+    taken = F.sum("n_rows").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    chosen = chosen.withColumn("taken", taken).where(F.col("taken") <= sample).select("of_doc", "label")
+    return own.join(F.broadcast(chosen), own.doc_id == chosen.of_doc).select("text", "label")
 
 
 def train(

@@ -54,8 +54,10 @@ def test_swapped_words():
 def test_an_id_of_many_rows_stays_within_the_sample(spark):
     docs = documents(spark, [(1, f"text {k}") for k in range(300)] + [(k, "other") for k in range(2, 20)])
     known = labels(spark, [(k, 1, k % 2) for k in range(20)])
-    assert toxicity.training_rows(docs, known, 50).count() == 50
-    assert {r.label for r in toxicity.training_rows(docs, known, 10).collect()} <= {0, 1}
+    outside = sum(zlib.crc32(str(k).encode()) % 4 != 2 for k in range(2, 20))
+    assert toxicity.training_rows(docs, known, 50).count() == outside
+    assert toxicity.training_rows(docs, known, 5).count() == 5
+    assert toxicity.training_rows(docs, known, 1000).count() == outside + 300 * (zlib.crc32(b"1") % 4 != 2)
 
 
 def test_penalty_removes_false_positives_on_neutral_mentions(spark):
