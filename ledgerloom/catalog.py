@@ -220,6 +220,12 @@ def _flushed(t: Tables) -> Tables:
     return vouchers.flush_to_ledger(t, vouchers.voucher_masters(t, postings), vouchers.voucher_details(t, postings))
 
 
+def _control_of_new_ledger(t: Tables) -> DataFrame:
+    """The control rows of a ledger that has offices without vouchers yet, after the day's vouchers."""
+    young = F.col("office_id") % 3 == 0
+    return _flushed(t.replace(voucher_control=t.voucher_control.filter(~young))).voucher_control
+
+
 def _ledger_of_day(t: Tables) -> DataFrame:
     """Active lines of the run date with their voucher."""
     run = t.run_control.select("office_id", F.col("business_date").alias("trx_date"))
@@ -247,7 +253,7 @@ _DAY_TABLES = (
     "offices run_control centers member_categories products product_mappings members loan_summary daily_loan_trx loan_trx "
     "saving_summary daily_saving_trx saving_trx acc_chart accounting_interface acc_trx_master acc_trx_detail holidays "
     "process_info expire_infos family_grace transfer_history miscellaneous application_settings auto_voucher_check "
-    "acc_last_voucher collection_loan_savings totals_until loan_totals"
+    "acc_last_voucher voucher_control collection_loan_savings totals_until loan_totals"
 ).split()
 
 
@@ -427,6 +433,7 @@ QUERIES: dict[str, Query] = {
     ),
     "voucher_ledger": Query(_LEDGER_LINE, lambda t: _ledger_of_day(_flushed(t))),
     "voucher_last_number": Query("office_id voucher_no:s", lambda t: _flushed(t).acc_last_voucher),
+    "voucher_control": Query("office_id organization_id first_date:d", _control_of_new_ledger),
     "voucher_numbers": Query("office_id voucher_no:s", vouchers.voucher_numbers),
     "voucher_flag_done": Query("office_id check_auto_voucher", day_end.raise_voucher_flag),
     "voucher_gates": Query(

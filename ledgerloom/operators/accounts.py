@@ -16,6 +16,7 @@ from ledgerloom.operators.changes import (
     set_where,
     with_run,
 )
+from ledgerloom.operators.voucher_control import with_vouchers
 from ledgerloom.sources.tables import Tables
 
 
@@ -93,6 +94,7 @@ def flush_cash(t: Tables, cash: DataFrame) -> Tables:
     return t.replace(
         acc_trx_master=masters.unionByName(keyed.select(*t.acc_trx_master.columns)),
         acc_trx_detail=details.unionByName(keyed.select(*t.acc_trx_detail.columns)),
+        voucher_control=with_vouchers(t, keyed),
     )
 
 

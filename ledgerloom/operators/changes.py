@@ -24,6 +24,23 @@ def set_where(df: DataFrame, condition: Column, **values: Column | int) -> DataF
     return df.withColumns(changed)
 
 
+def one_per_key(delta: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of a delta or lookup; the job fails where two of them have one key.
+
+    Rows meet by their key, as they do for the join that follows, so the check adds no exchange to that.
+    """
+    rest = [c for c in delta.columns if c not in keys]
+    grouped = delta.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[F.any_value(c).alias(c) for c in rest])
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
+    repeated = F.raise_error(F.concat(F.lit(f"several changes for one key ({', '.join(keys)}): "), shown))
+    return grouped.filter(F.when(F.col("_rows") == 1, True).otherwise(repeated.cast("boolean"))).drop("_rows")
+
+
+def merge(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target's rows with their change from a delta, NULL where it has none; see :func:`one_per_key`."""
+    return target.join(one_per_key(delta, keys), list(keys), "left")
+
+
 def drop_where(df: DataFrame, condition: Column) -> DataFrame:
     """Delete rows that satisfy the condition; rows where it is NULL stay."""
     return df.filter(~F.coalesce(condition, F.lit(False)))

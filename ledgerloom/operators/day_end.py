@@ -14,6 +14,7 @@ from ledgerloom.functions.text import starts_with
 from ledgerloom.operators import totals
 from ledgerloom.operators.changes import (
     LOAN_KEYS,
+    merge,
     on_run_date,
     products_of,
     set_where,
@@ -70,7 +71,7 @@ def roll_loan_summary(t: Tables) -> DataFrame:
         )
     )
     loans = with_run(t.loan_summary, t, "left")
-    df = loans.join(day, LOAN_KEYS, "left").join(
+    df = merge(loans, day, LOAN_KEYS).join(
         products_of(t, F.col("interest_calculation_method").alias("p_method")), "product_id", "left"
     )
     hit = F.col("d_date").isNotNull() & F.col("run_date").isNotNull() & F.col("p_method").isNotNull()
@@ -112,8 +113,7 @@ def apply_corrections(t: Tables) -> DataFrame:
         .agg(*[F.sum(c).alias(f"d_{c}") for c in ("loan_paid", "int_paid", "int_charge")], F.lit(1).alias("hit"))
     )
     df = (
-        with_run(t.loan_summary, t, "left")
-        .join(day, "loan_summary_id", "left")
+        merge(with_run(t.loan_summary, t, "left"), day, ["loan_summary_id"])
         .join(products_of(t, F.col("interest_calculation_method").alias("p_method")), "product_id", "left")
     )
     hit = (F.col("hit") == 1) & F.col("run_date").isNotNull() & F.col("p_method").isNotNull()
@@ -284,7 +284,7 @@ def resync_month_to_date(t: Tables) -> DataFrame:
         .groupBy("office_id", "loan_summary_id")
         .agg(*[F.sum(source).alias(f"m_{name}") for name, source in amounts.items()])
     )
-    df = t.loan_summary.join(month, ["office_id", "loan_summary_id"], "left")
+    df = merge(t.loan_summary, month, ["office_id", "loan_summary_id"])
     differs = F.lit(False)
     for name in amounts:
         differs = differs | (F.col(name) != F.col(f"m_{name}"))
@@ -329,7 +329,7 @@ def roll_saving_summary(t: Tables) -> DataFrame:
         "cur_interest": "monthly_interest",
         "cur_penalty": "penalty",
     }
-    df = t.saving_summary.join(day, "saving_summary_id", "left")
+    df = merge(t.saving_summary, day, ["saving_summary_id"])
     rolled = {name: F.col(name) + F.col(f"d_{source}") for name, source in added.items()}
     return set_where(df, F.col("hit") == 1, **rolled).select(*t.saving_summary.columns)
 
@@ -342,7 +342,7 @@ def stamp_saving_date(t: Tables) -> DataFrame:
         .agg(F.sum("saving_installment").alias("paid"))
         .filter("paid > 0")
     )
-    df = with_run(t.saving_summary, t, "left").join(paid, "saving_summary_id", "left")
+    df = merge(with_run(t.saving_summary, t, "left"), paid, ["saving_summary_id"])
     hit = F.col("paid").isNotNull() & (F.col("is_active") == 1) & F.col("run_date").isNotNull()
     return set_where(df, hit, transaction_date=F.col("run_date")).select(*t.saving_summary.columns)
 

@@ -28,6 +28,9 @@ from ledgerloom.sources.tables import Tables
 # fixed values: organization whose past-duration loans stop accruing on the sheet
 STOP_CHARGE_ORGANIZATION = 5
 
+#: Copies of a sheet row that one task makes at a time.
+COPIES = 1000
+
 
 def _outside_month(day: Column, of: Column) -> Column:
     return (day < first_date(of)) | (day > last_date(of))
@@ -125,15 +128,34 @@ def weekly_savings(t: Tables) -> DataFrame:
     )
 
 
+def repeated(rows: DataFrame, times: str) -> DataFrame:
+    """Every row as often as its column ``times`` says.
+
+    Rows with many copies are first cut into blocks of ``COPIES`` and the blocks dealt over tasks, so that the copies
+    of one row never come from one task. Only those few rows are exchanged.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    few, many = rows.filter(F.col(times).between(1, COPIES)), rows.filter(F.col(times) > COPIES)
+
+    def numbers(count: Column) -> Column:
+        return F.explode(F.sequence(F.lit(1).cast("bigint"), count.cast("bigint")))
+
+    blocks = many.withColumn("block", numbers(F.ceil(F.col(times) / COPIES)))
+    dealt = blocks.repartition(tasks, F.xxhash64(*rows.columns), "block")
+    size = F.least(F.lit(COPIES), F.col(times) - (F.col("block") - 1) * COPIES)
+    return few.withColumn("copy", numbers(F.col(times))).drop("copy").unionByName(
+        dealt.withColumn("copy", numbers(size)).drop("block", "copy")
+    )
+
+
 def compulsory_savings(t: Tables) -> DataFrame:
     """Compulsory savings of the members part 1 leaves out, once per such loan (part 2)."""
     rows = (
         _collected_savings(t)
         .filter((F.col("payment_frequency") == "W") & starts_with("main_product_code", "21"))
         .join(_monthly_loans_per_member(t), MEMBER_KEYS)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("monthly_loans"))))
     )
-    return _savings_rows(rows, F.col("run_date"))
+    return _savings_rows(repeated(rows, "monthly_loans"), F.col("run_date"))
 
 
 def savings_sheet(t: Tables) -> DataFrame:
@@ -143,10 +165,9 @@ def savings_sheet(t: Tables) -> DataFrame:
         .filter("payment_frequency = 'W'")
         .join(_monthly_loans_per_member(t), MEMBER_KEYS, "left")
         .filter(F.col("monthly_loans").isNull() | starts_with("main_product_code", "21"))
-        .withColumn(
-            "copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("monthly_loans", F.lit(1).cast("bigint"))))
-        )
+        .withColumn("copies", F.coalesce("monthly_loans", F.lit(1).cast("bigint")))
     )
+    rows = repeated(rows, "copies")
     part = F.when(F.col("monthly_loans").isNull(), F.col("transaction_date")).otherwise(F.col("run_date"))
     return _savings_rows(rows, part)
 

@@ -19,6 +19,7 @@ from ledgerloom.functions.money import MONEY, RATE, WHOLE, nz
 from ledgerloom.functions.text import starts_with, voucher_with_last_year
 from ledgerloom.operators import voucher_rules as R
 from ledgerloom.operators.changes import on_run_date, products_of, set_where, split_by_run_date, with_run
+from ledgerloom.operators.voucher_control import offices_with_vouchers, with_vouchers
 from ledgerloom.sources.tables import Tables
 
 ALL_RULES = frozenset(R.GATE_OF_RULE)
@@ -478,7 +479,7 @@ def voucher_gates(t: Tables, amounts: DataFrame) -> DataFrame:
         [
             rule_gate_hits(t, amounts, set(R.GATE_NAMES)),
             _opened(day_initial_offices(t), "H01"),
-            _opened(with_run(t.acc_trx_master, t), "H02"),
+            _opened(offices_with_vouchers(t), "H02"),
             _opened(movement_offices(t), "H03"),
         ]
     )
@@ -551,7 +552,7 @@ def voucher_numbers(t: Tables) -> DataFrame:
     seeded with ``01-<year>`` for an office without any voucher.
     """
     run = _run(t)
-    owned = with_run(t.acc_trx_master, t).select("office_id").distinct().withColumn("has_master", F.lit(1))
+    owned = offices_with_vouchers(t).withColumn("has_master", F.lit(1))
     unposted = (
         on_run_date(t.acc_trx_master.filter("is_posted = 0"), t, "trx_date")
         .join(run, "office_id")
@@ -631,4 +632,5 @@ def flush_to_ledger(t: Tables, masters: DataFrame, details: DataFrame) -> Tables
         acc_trx_master=t.acc_trx_master.unionByName(heads.select(*t.acc_trx_master.columns)),
         acc_trx_detail=t.acc_trx_detail.unionByName(lines.select(*t.acc_trx_detail.columns)),
         acc_last_voucher=last.select("office_id", F.coalesce("rolled", "voucher_no").alias("voucher_no")),
+        voucher_control=with_vouchers(t, heads),
     )

@@ -15,7 +15,7 @@ from ledgerloom.operators import accounts, adjustments, totals, validations, vou
 from ledgerloom.operators import day_end as eod
 from ledgerloom.operators import month_close as mon
 from ledgerloom.operators import start_of_day as sod
-from ledgerloom.operators.changes import drop_keys
+from ledgerloom.operators.changes import drop_keys, one_per_key
 from ledgerloom.sources.staging import Stage
 from ledgerloom.sources.tables import Tables
 
@@ -35,12 +35,18 @@ def _stage(t: Tables, label: str) -> Stage:
     return Stage(t.run_control.sparkSession, label)
 
 
+def _run_of(t: Tables, stage: Stage) -> Tables:
+    """The table set of a run whose control has one row per office: a second one would double every amount."""
+    return t.replace(run_control=stage.save("run", one_per_key(t.run_control, ["office_id"]).select(*t.run_control.columns)))
+
+
 def start_of_day(t: Tables, enforce: bool = True) -> Outcome:
     """The day's collection sheets, corrected, and the state tables they touch.
 
     ``enforce=False`` runs every office whatever its report says.
     """
     stage = _stage(t, "start-of-day")
+    t = _run_of(t, stage)
     report = stage.save("report", validations.start_of_day_report(t))
     if enforce:
         t = validations.passing_offices(t, report)
@@ -121,6 +127,7 @@ def auto_voucher(t: Tables, enforce: bool = True) -> Outcome:
     The vouchers are in the ledger of the returned set, and apart as ``voucher_masters`` and ``voucher_details``.
     """
     stage = _stage(t, "vouchers")
+    t = _run_of(t, stage)
     report = stage.save("report", validations.auto_voucher_report(t))
     if enforce:
         t = validations.passing_offices(t, report)
@@ -143,6 +150,7 @@ def day_end(t: Tables, enforce: bool = True) -> Outcome:
     ``new_loan_trx``, ``new_saving_trx``, ``cash_vouchers`` and ``archived_collections``.
     """
     stage = _stage(t, "day-end")
+    t = _run_of(t, stage)
     report = stage.save("report", validations.day_end_report(t))
     if enforce:
         t = validations.passing_offices(t, report)
@@ -211,6 +219,7 @@ def month_close(t: Tables, enforce: bool = True) -> Outcome:
     month is carried into the running totals of the loans.
     """
     stage = _stage(t, "month-close")
+    t = _run_of(t, stage)
     report = stage.save("report", validations.month_end_report(t))
     if enforce:
         t = validations.passing_offices(t, report)

@@ -158,6 +158,9 @@ SCHEMAS: dict[str, str] = {
     balance decimal(18,2), interest decimal(18,2), transaction_date date, no_of_account int,
     saving_summary_id bigint
     """,
+    "voucher_control": """
+    office_id bigint, organization_id bigint, first_date date
+    """,
     "totals_until": """
     office_id bigint, until date
     """,

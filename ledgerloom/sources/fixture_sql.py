@@ -274,6 +274,10 @@ def _for_each_office(texts: dict[str, str]) -> dict[str, str]:
 FIXTURE_SQL = _for_each_office(FIXTURE_SQL)
 # lines carry the date of their voucher as its office has it
 FIXTURE_SQL["acc_trx_detail"] = FIXTURE_SQL["acc_trx_detail"].replace("base_acc_trx_master", "acc_trx_master")
+# every office with a voucher
+FIXTURE_SQL["voucher_control"] = """
+        SELECT office_id, organization_id, min(trx_date) first_date FROM acc_trx_master GROUP BY office_id, organization_id
+    """
 # totals reach the first of the run's month; an office in five has none yet
 FIXTURE_SQL["totals_until"] = """
         SELECT office_id, CAST(date_trunc('month', business_date) AS DATE) until FROM run_control WHERE office_id%5<>4

@@ -189,6 +189,9 @@ TEXTS = {
     "voucher_gates": "SELECT r.office_id, "
     + ", ".join(f"CASE WHEN r.office_id IN ({sql}) THEN 1 ELSE 0 END {name}" for name, sql in _GATES.items())
     + " FROM run_control r",
+    "voucher_control": """SELECT office_id, organization_id, min(first_date) first_date FROM (
+          SELECT office_id, organization_id, trx_date first_date FROM acc_trx_master WHERE office_id%3<>0
+          UNION ALL SELECT office_id, organization_id, business_date FROM run_control SEMI JOIN heads USING (office_id)) GROUP BY ALL""",
     "voucher_numbers": "SELECT office_id, voucher_no FROM picked_numbers",
     "voucher_masters": _MASTERS,
     "voucher_details": _DETAILS,

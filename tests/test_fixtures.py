@@ -19,6 +19,7 @@ KEYS = {
     "saving_summary": ["saving_summary_id"],
     "daily_saving_trx": ["daily_saving_trx_id"],
     "saving_trx": ["saving_trx_id"],
+    "voucher_control": ["office_id", "organization_id"],
     "totals_until": ["office_id"],
     "loan_totals": ["loan_summary_id"],
     "acc_chart": ["organization_id", "acc_code"],
