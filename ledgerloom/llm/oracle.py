@@ -79,4 +79,54 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
-ORACLE_SQL = {"op3_url_filters": OP3, "op12_conversation_prefix_trie": OP12, "op13_chat_formatting": OP13}
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP8 = rf"""
+WITH docs AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+items AS (
+    SELECT item_id, words, least(len(words), 10) AS size
+    FROM (SELECT item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark)
+    WHERE len(words) > 0),
+windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(words[pos:pos + size - 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS pos FROM items)),
+places AS (
+    SELECT doc_id, size, pos, array_to_string(words[pos:pos + size - 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS pos FROM docs, (SELECT DISTINCT size FROM windows))),
+found AS (SELECT doc_id, pos, size, item_id FROM places JOIN windows USING (size, phrase)),
+hits AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS place FROM found) GROUP BY doc_id),
+whose AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM found) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN whose USING (doc_id)
+"""
+
+OP10 = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+    SELECT doc_id, pos, array_to_string(words[pos:pos + 19], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, len(words) - 18)) AS pos FROM docs)),
+later AS (
+    SELECT doc_id, pos FROM windows QUALIFY row_number() OVER (PARTITION BY phrase ORDER BY doc_id, pos) > 1),
+covered AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS place FROM later),
+kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+    FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM docs)
+    ANTI JOIN covered USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL = {
+    "op3_url_filters": OP3,
+    "op10_substring_dedup": OP10,
+    "op12_conversation_prefix_trie": OP12,
+    "op13_chat_formatting": OP13,
+}
+
+# of these queries SQL gives some columns only: proximity matches of every window against every place are too slow in it
+PARTIAL_SQL = {"op8_benchmark_decontamination": OP8}
