@@ -156,15 +156,7 @@ def _staged(t: Tables, name: str, df: DataFrame) -> DataFrame:
 def _shift(position: int) -> Callable[[Tables], DataFrame]:
     def build(t: Tables) -> DataFrame:
         t = adjustments.without_adjustments(t)
-        sums = adjustments.day_sums(t)
-        if position == 1:
-            return adjustments.shifts(t, sums, 1)[-1]
-        sums = _staged(t, "sums", sums)
-
-        def keep(name: str, df: DataFrame) -> DataFrame:
-            return df if name == f"shift-{position}" else _staged(t, name, df)
-
-        return adjustments.shifts(t, sums, position, keep)[-1]
+        return adjustments.shifts(t, adjustments.day_sums(t), position)[-1]
 
     return build
 

@@ -1,14 +1,12 @@
 """Adjustment of the day's loan transactions, run before vouchers and before day end.
 
-The day's rows are summed once per loan (partial sums are combined before any shuffle) and every rule works on those
-sums plus the few rows added by the rules before it, so the raw rows are read once.
+The day's rows are summed once per loan (partial sums are combined before any shuffle); the sums are dealt once by loan
+and the four shifts follow each other as columns, so the raw rows are read once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import money, nz, zero
@@ -97,48 +95,6 @@ def day_sums(t: Tables) -> DataFrame:
     )
 
 
-def _regroup(sums: DataFrame, keys: list[str], *extra: DataFrame) -> DataFrame:
-    """Sums (with rows added since) at a coarser grain; amounts are prefixed ``d_``."""
-    rows = sums
-    for added in extra:
-        rows = rows.unionByName(
-            added.select(*SUM_KEYS, "loan_paid", "int_paid", *LATEST), allowMissingColumns=True
-        )
-    return rows.groupBy(*keys).agg(
-        *[F.sum(c).alias(f"d_{c}") for c in SUMMED], *[F.max(c).alias(f"d_{c}") for c in LATEST]
-    )
-
-
-def _adjustment_rows(df: DataFrame, loan_paid: Column, int_paid: Column, **dates: Column) -> DataFrame:
-    """Rows an adjustment adds: a principal/interest shift of type 50; dues and charges stay NULL."""
-    columns = {
-        "loan_paid": money(loan_paid),
-        "int_paid": money(int_paid),
-        "trx_date": F.col("trx_date"),
-        "installment_date": F.col("installment_date"),
-        "installment_no": F.col("d_installment_no"),
-        "member_name": F.col("d_member_name"),
-        **dates,
-    }
-    return df.select(
-        "loan_summary_id",
-        "office_id",
-        "center_id",
-        "product_id",
-        "member_id",
-        "loan_term",
-        *[value.alias(name) for name, value in columns.items()],
-        "member_category_id",
-        "purpose_id",
-        "employee_id",
-        "investor_id",
-        F.lit(ADJUSTMENT).alias("trx_type"),
-        "product_code",
-        "member_code",
-        "organization_id",
-    )
-
-
 def _loans(t: Tables) -> DataFrame:
     return t.loan_summary.select(
         "loan_summary_id",
@@ -163,113 +119,257 @@ def _loans(t: Tables) -> DataFrame:
     )
 
 
-def _principal_gap() -> Column:
-    return F.col("principal_loan") - F.col("l_repaid") - F.col("d_loan_paid")
+# A loan's rows meet once, dealt by office and loan; each grain below refines that, so its window needs no exchange.
+_LOAN = ["office_id", "loan_summary_id"]
+_MEMBER = [*_LOAN, "s_member_id"]
+_DAY = [*_MEMBER, "s_trx_date", "s_installment_date", "s_product_code", "s_member_code"]
+_DATE = [*_LOAN, "s_installment_date", "s_product_code", "s_member_code"]
+_BALANCE = [*_DATE, "s_product_id", "s_organization_id"]
+_ROW = [f"s_{c}" for c in SUM_KEYS if c not in _LOAN]
+
 
+def _over(grain: list[str], **totals: Column) -> dict[str, Column]:
+    return {name: total.over(Window.partitionBy(*grain)) for name, total in totals.items()}
 
-def _interest_gap() -> Column:
-    return F.col("l_charge") + F.col("d_int_charge") - F.col("l_paid") - F.col("d_int_paid")
 
+def _first(grain: list[str]) -> Column:
+    """Whether a row is the one that stands for its group."""
+    rest = [c for c in _ROW if c not in grain]
+    return F.row_number().over(Window.partitionBy(*grain).orderBy(*rest)) == 1
 
-def _outstanding() -> Column:
-    return _principal_gap() + _interest_gap()
 
+def _sum_of(*amounts: Column) -> Column:
+    """Sum of two amounts that passes over NULL as an aggregate does."""
+    first, second = amounts
+    return F.coalesce(first + second, first, second)
 
-_BY_DAY = ["office_id", "member_id", "loan_summary_id", "trx_date", "installment_date", "product_code", "member_code"]
 
+def _loan_days(t: Tables, sums: DataFrame) -> DataFrame:
+    """The day's sums (``s_``) beside their loan, and loans without any that are paid over their principal."""
+    sheet_date = _in_run(t.daily_loan_trx, t).groupBy("office_id").agg(F.max("installment_date").alias("sheet_date"))
+    offices = t.run_control.groupBy("office_id").agg(
+        F.max(F.col("organization_id") != NO_EXCESS_RULE_ORGANIZATION).alias("has_excess_rule")
+    )
+    product = products_of(t, F.col("product_code").alias("l_product_code"))
+    method = t.products.select(
+        F.col("product_id").alias("s_product_id"), F.col("interest_calculation_method").alias("s_method")
+    )
+    loans = _loans(t).join(offices.join(sheet_date, "office_id", "left"), "office_id").join(product, "product_id", "left")
+    day = sums.select(*[F.col(c) if c in _LOAN else F.col(c).alias(f"s_{c}") for c in sums.columns])
+    day = day.join(method, "s_product_id", "left").withColumn("s_present", F.lit(True))
+    return loans.join(day, _LOAN, "left").filter(
+        F.col("s_present") | (F.col("principal_loan") - F.col("l_repaid") < 0)
+    )
 
-def _loans_with(t: Tables, sums: DataFrame, *extra: DataFrame) -> DataFrame:
-    grouped = _regroup(sums, _BY_DAY, *extra)
-    return _loans(t).join(grouped, ["office_id", "member_id", "loan_summary_id"])
 
+def _settle_days(rows: DataFrame) -> DataFrame:
+    """Rules 1 and 2, on a loan's sums of one day: ``moved_1`` and ``moved_2``, and ``moved_once`` on one row a group.
 
-def principal_over(t: Tables, sums: DataFrame) -> DataFrame:
-    """Settled loans with overpaid principal: the excess moves to interest."""
-    rows = _loans_with(t, sums).filter((_outstanding() < 0.5) & (_principal_gap() < 0))
-    return _adjustment_rows(rows, _principal_gap(), -_principal_gap())
+    A settled loan with overpaid principal moves the excess to interest; one with principal short and interest over
+    moves interest to principal. The second is selected by the interest gap, but its amount is the principal gap.
+    """
+    rows = rows.withColumns(
+        _over(
+            _DAY,
+            d_loan_paid=F.sum("s_loan_paid"),
+            d_int_paid=F.sum("s_int_paid"),
+            d_int_charge=F.sum("s_int_charge"),
+            d_installment_no=F.max("s_installment_no"),
+            d_member_name=F.max("s_member_name"),
+        )
+        | {"first_of_day": _first(_DAY)}
+    )
+    rows = rows.withColumns(
+        {
+            "principal_gap": F.col("principal_loan") - F.col("l_repaid") - F.col("d_loan_paid"),
+            "interest_gap": F.col("l_charge") + F.col("d_int_charge") - F.col("l_paid") - F.col("d_int_paid"),
+        }
+    )
+    own = F.col("s_member_id") == F.col("member_id")
+    principal, interest = F.col("principal_gap"), F.col("interest_gap")
+    over = own & (principal + interest < 0.5) & (principal < 0)
+    rows = rows.withColumn("moved_1", F.when(over, money(principal)))
+    principal, interest = principal - nz("moved_1"), interest + nz("moved_1")
+    short = own & (principal + interest < 0.5) & (interest < 0.5) & (principal > 0) & (interest != 0)
+    rows = rows.withColumn("moved_2", F.when(short, money(principal)))
+    return rows.withColumn("moved_once", F.when(F.col("first_of_day"), _sum_of(F.col("moved_1"), F.col("moved_2"))))
 
 
-def interest_over(t: Tables, sums: DataFrame, *earlier: DataFrame) -> DataFrame:
-    """Settled loans with principal short and interest over: interest moves to principal.
+def _settle_loans(rows: DataFrame) -> DataFrame:
+    """Rule 3: an active loan (code not starting with 7) paid over its principal, with or without rows today.
 
-    Selected by the interest gap, but the amount is the principal gap.
+    ``moved_3`` is the amount for a member's rows of the loan, ``loan_moved_3`` their sum over the loan.
     """
-    rows = _loans_with(t, sums, *earlier).filter(
-        (_outstanding() < 0.5) & (_interest_gap() < 0.5) & (_principal_gap() > 0) & (_interest_gap() != 0)
+    rows = rows.withColumns(
+        _over(_MEMBER, m_loan_paid=F.sum("s_loan_paid"), m_moved=F.sum("moved_once"))
+        | {"first_of_member": _first(_MEMBER)}
     )
-    return _adjustment_rows(rows, _principal_gap(), -_principal_gap())
+    gap = F.col("principal_loan") - (F.col("l_repaid") + nz("m_loan_paid") + nz("m_moved"))
+    active = (F.col("is_active") == 1) & (F.col("loan_status") == 1) & ~starts_with("l_product_code", "7")
+    rows = rows.withColumn("moved_3", F.when(active & (gap < 0), money(gap)))
+    once = F.when(F.col("first_of_member"), F.col("moved_3"))
+    return rows.withColumns(_over(_LOAN, loan_moved_3=F.sum(once)))
 
 
-def over_loan_paid(t: Tables, sums: DataFrame, *earlier: DataFrame) -> DataFrame:
-    """Any active loan (code not starting with 7) paid over its principal, whether or not it has rows today."""
-    sheet_date = _in_run(t.daily_loan_trx, t).groupBy("office_id").agg(F.max("installment_date").alias("sheet_date"))
-    grouped = _regroup(sums, ["office_id", "member_id", "loan_summary_id"], *earlier).drop("member_id")
-    members = t.members.select("member_id", "member_code", joined_name(" ").alias("full_name"))
-    gap = F.col("principal_loan") - (F.col("l_repaid") + nz("d_loan_paid"))
-    rows = (
-        _in_run(_loans(t), t)
-        .filter("is_active = 1 AND loan_status = 1")
-        .join(products_of(t, "product_code").filter(~starts_with("product_code", "7")), "product_id")
-        .join(grouped, ["office_id", "loan_summary_id"], "left")
-        .filter(gap < 0)
-        .join(members, "member_id")
-        .join(sheet_date, "office_id", "left")
+def _settle_excess(rows: DataFrame) -> DataFrame:
+    """Rule 4: an unsettled loan with interest overpaid by at least 1 moves the rounded excess to principal.
+
+    The sums count the rows added before. A row of rule 3 needs the loan's member and carries the member's code, which
+    is looked up last, for added rows only. So there are two amounts: ``moved_4`` without that row and, where the
+    rest of its key meets this group (``meets_3``), ``moved_4_after_3`` with it.
+    """
+    shifted = F.col("moved_once").isNotNull()
+    rows = rows.withColumns(
+        _over(
+            _BALANCE,
+            b_loan_paid=F.sum("s_loan_paid"),
+            b_int_paid=F.sum("s_int_paid"),
+            b_int_charge=F.sum("s_int_charge"),
+            b_int_due=F.sum("s_int_due"),
+            b_installment_no=F.max("s_installment_no"),
+            b_member_name=F.max("s_member_name"),
+        )
+        | _over(
+            _DATE,
+            a_moved=F.sum("moved_once"),
+            a_installment_no=F.max(F.when(shifted, F.col("d_installment_no"))),
+            a_member_name=F.max(F.when(shifted, F.col("d_member_name"))),
+        )
+        | {"first_of_balance": _first(_BALANCE)}
+    )
+    belongs = F.col("s_product_id").eqNullSafe(F.col("product_id")) & F.col("s_organization_id").eqNullSafe(
+        F.col("organization_id")
     )
-    day = F.col("sheet_date")
-    return _adjustment_rows(
-        rows,
-        gap,
-        -gap,
-        trx_date=day,
-        installment_date=day,
-        installment_no=F.col("l_installment_no"),
-        member_name=F.col("full_name"),
+    meets = (
+        belongs
+        & F.col("loan_moved_3").isNotNull()
+        & F.col("s_installment_date").eqNullSafe(F.col("sheet_date"))
+        & F.col("s_product_code").eqNullSafe(F.col("l_product_code"))
+    )
+    moved = F.when(belongs, F.col("a_moved"))
+    rows = rows.withColumns(
+        {
+            "meets_3": meets,
+            "b_loan_paid": _sum_of(F.col("b_loan_paid"), moved),
+            "b_int_paid": _sum_of(F.col("b_int_paid"), -moved),
+            "b_installment_no": F.greatest("b_installment_no", F.when(belongs, F.col("a_installment_no"))),
+            "b_member_name": F.greatest("b_member_name", F.when(belongs, F.col("a_member_name"))),
+        }
     )
 
+    def excess_moved(loan_paid: Column, int_paid: Column) -> Column:
+        principal = F.col("principal_loan") - F.col("l_repaid") - loan_paid
+        excess = F.col("l_paid") + int_paid - F.col("l_charge") - F.col("b_int_charge")
+        over_due = F.col("l_paid") + int_paid - (nz("cum_int_due") + F.col("b_int_due"))
+        hit = (
+            F.col("s_present")
+            & F.col("has_excess_rule")
+            & (principal - excess >= 0.5)
+            & (excess >= 1)
+            & (over_due >= 1)
+            & (F.col("s_method") != "D")
+        )
+        amount = F.when(principal >= excess, excess).otherwise(excess - principal)
+        return F.when(hit, money(F.round(amount, 0)))
+
+    added = F.col("loan_moved_3")
+    after = excess_moved(_sum_of(F.col("b_loan_paid"), added), _sum_of(F.col("b_int_paid"), -added))
+    return rows.withColumns(
+        {
+            "moved_4": excess_moved(F.col("b_loan_paid"), F.col("b_int_paid")),
+            "moved_4_after_3": F.when(meets, after),
+        }
+    )
 
-def excess_interest(t: Tables, sums: DataFrame, *earlier: DataFrame) -> DataFrame:
-    """Unsettled loans with interest overpaid by at least 1 move the rounded excess to principal."""
-    keys = [
-        "office_id",
-        "loan_summary_id",
-        "installment_date",
+
+def _shift(rule: int, moved: str, first: str, after_3: Column | None = None, **values: Column) -> Column:
+    """One added row as a struct, NULL where the rule does not fire or another row stands for the group."""
+    columns = {
+        "rule": F.lit(rule),
+        "moved": F.col(moved),
+        "after_3": F.lit(None).cast("boolean") if after_3 is None else after_3,
+        "product_id": F.col("product_id"),
+        "organization_id": F.col("organization_id"),
+        "trx_date": F.col("s_trx_date"),
+        "installment_date": F.col("s_installment_date"),
+        "product_code": F.col("s_product_code"),
+        "member_code": F.col("s_member_code"),
+    } | values
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return F.when(F.col(first) & F.col(moved).isNotNull(), row)
+
+
+def shift_rows(t: Tables, sums: DataFrame, upto: int = 4) -> DataFrame:
+    """The rows that the first ``upto`` of the four shifts add (type 50), with ``rule`` 1 to 4.
+
+    Every rule sees the rows added before it. The sums meet their loans in one exchange; the rules follow as columns of
+    that partitioning, a group's amount standing on one of its rows. Dues and charges of added rows stay NULL.
+    """
+    rows = _settle_days(_loan_days(t, sums))
+    day = {"installment_no": F.col("d_installment_no"), "member_name": F.col("d_member_name")}
+    found = [_shift(1, "moved_1", "first_of_day", **day), _shift(2, "moved_2", "first_of_day", **day)]
+    if upto >= 3:
+        rows = _settle_loans(rows)
+        sheet = {
+            "trx_date": F.col("sheet_date"),
+            "installment_date": F.col("sheet_date"),
+            "product_code": F.col("l_product_code"),
+            "member_code": F.lit(None).cast("string"),
+            "installment_no": F.col("l_installment_no"),
+            "member_name": F.lit(None).cast("string"),
+        }
+        found.append(_shift(3, "moved_3", "first_of_member", **sheet))
+    if upto >= 4:
+        rows = _settle_excess(rows)
+        balance = {
+            "product_id": F.col("s_product_id"),
+            "organization_id": F.col("s_organization_id"),
+            "trx_date": F.col("s_installment_date"),
+            "installment_no": F.col("b_installment_no"),
+            "member_name": F.col("b_member_name"),
+        }
+        latest = balance | {"installment_no": F.greatest("b_installment_no", "l_installment_no")}
+        apart = F.when(F.col("meets_3"), F.lit(False))
+        found.append(_shift(4, "moved_4", "first_of_balance", apart, **balance))
+        found.append(_shift(4, "moved_4_after_3", "first_of_balance", F.lit(True), **latest))
+    kept = ["center_id", "member_id", "loan_term", "member_category_id", "purpose_id", "employee_id", "investor_id"]
+    added = rows.select(*_LOAN, *kept, F.explode(F.array_compact(F.array(*found[: upto if upto < 4 else 5]))).alias("row"))
+    members = t.members.select(
+        "member_id", F.col("member_code").alias("m_code"), joined_name(" ").alias("full_name"), F.lit(True).alias("found")
+    )
+    added = added.select(*_LOAN, *kept, "row.*").join(members, "member_id", "left")
+    is_3, known = F.col("rule") == 3, F.coalesce(F.col("found"), F.lit(False))
+    with_3 = known & F.col("member_code").eqNullSafe(F.col("m_code"))
+    added = added.filter(F.when(is_3, known).otherwise(F.col("after_3").isNull() | (F.col("after_3") == with_3)))
+    name = F.when(F.col("after_3"), F.greatest("member_name", "full_name")).otherwise(F.col("member_name"))
+    return added.select(
+        "rule",
+        *_LOAN,
+        "center_id",
         "product_id",
+        "member_id",
+        "loan_term",
+        money(F.col("moved")).alias("loan_paid"),
+        money(-F.col("moved")).alias("int_paid"),
+        "trx_date",
+        "installment_date",
+        "installment_no",
+        F.when(is_3, F.col("full_name")).otherwise(name).alias("member_name"),
+        "member_category_id",
+        "purpose_id",
+        "employee_id",
+        "investor_id",
+        F.lit(ADJUSTMENT).alias("trx_type"),
         "product_code",
-        "member_code",
+        F.when(is_3, F.col("m_code")).otherwise(F.col("member_code")).alias("member_code"),
         "organization_id",
-    ]
-    organizations = t.run_control.filter(F.col("organization_id") != NO_EXCESS_RULE_ORGANIZATION)
-    excess = -_interest_gap()
-    over_due = F.col("l_paid") + F.col("d_int_paid") - (nz("cum_int_due") + F.col("d_int_due"))
-    rows = (
-        _regroup(sums, keys, *earlier)
-        .join(organizations.select("office_id"), "office_id", "left_semi")
-        .join(_loans(t).drop("product_id", "organization_id"), ["loan_summary_id", "office_id"])
-        .join(products_of(t, "interest_calculation_method"), "product_id")
-        .filter(
-            (_outstanding() >= 0.5) & (excess >= 1) & (over_due >= 1) & (F.col("interest_calculation_method") != "D")
-        )
     )
-    moved = F.when(_principal_gap() >= excess, excess).otherwise(excess - _principal_gap())
-    return _adjustment_rows(rows, F.round(moved, 0), F.round(-moved, 0), trx_date=F.col("installment_date"))
 
 
-def shifts(
-    t: Tables,
-    sums: DataFrame,
-    upto: int = 4,
-    keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
-) -> list[DataFrame]:
-    """The first ``upto`` of the four rules in order, each seeing the rows added before it.
-
-    ``keep`` may write a rule's few rows and read them back, so later rules do not evaluate it again.
-    """
-    rules = (principal_over, interest_over, over_loan_paid, excess_interest)
-    added: list[DataFrame] = []
-    for position, rule in enumerate(rules[:upto], start=1):
-        rows = rule(t, sums, *added)
-        added.append(keep(f"shift-{position}", rows))
-    return added
+def shifts(t: Tables, sums: DataFrame, upto: int = 4) -> list[DataFrame]:
+    """The rows of :func:`shift_rows`, one frame a rule."""
+    rows = shift_rows(t, sums, upto)
+    return [rows.filter(F.col("rule") == rule).drop("rule") for rule in range(1, upto + 1)]
 
 
 # ---------------------------------------------------------------- overpayment to savings

@@ -87,11 +87,8 @@ def adjust(t: Tables, stage: Stage, step: str) -> Tables:
     t = t.replace(daily_loan_trx=adjustments.dedupe_charges(t))
     t = adjustments.without_adjustments(t)
     t = _saved(t, stage, f"{step}/deduped", "daily_loan_trx")
-    sums = stage.save(f"{step}/sums", adjustments.day_sums(t))
-    loans = t.daily_loan_trx
-    for rows in adjustments.shifts(t, sums, keep=lambda name, df: stage.save(f"{step}/{name}", df)):
-        loans = loans.unionByName(rows, allowMissingColumns=True)
-    t = t.replace(daily_loan_trx=loans)
+    added = stage.save(f"{step}/shifts", adjustments.shift_rows(t, adjustments.day_sums(t)).drop("rule"))
+    t = t.replace(daily_loan_trx=t.daily_loan_trx.unionByName(added, allowMissingColumns=True))
     t = _move_excess(t, stage, step)
     t = t.replace(acc_trx_detail=adjustments.deactivate_details(t))
     return _saved(t, stage, f"{step}/adjusted", "daily_loan_trx", "daily_saving_trx", "saving_summary")
