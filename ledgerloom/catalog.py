@@ -17,6 +17,7 @@ from ledgerloom.operators import (
     accounts,
     adjustments,
     day_end,
+    keys,
     month_close,
     reports,
     start_of_day,
@@ -175,6 +176,28 @@ def _excess_contra(t: Tables) -> DataFrame:
     return adjustments.contra_overpaid(t, adjustments.overpaid_loans(t))
 
 
+def _history_keys(t: Tables) -> DataFrame:
+    """What the keys of the day's new history rows come to, by table."""
+    new = {
+        "loan_trx": day_end.post_loan_trx(t).unionByName(day_end.disbursement_trx(t)),
+        "saving_trx": day_end.post_saving_trx(t),
+    }
+    counted = []
+    for name, rows in new.items():
+        key = F.col(keys.KEY_OF[name])
+        counted.append(
+            keys.with_keys(t, name, _staged(t, name, rows)).select(key.alias("key")).agg(
+                F.lit(name).alias("table_name"),
+                F.count(F.lit(1)).alias("new_rows"),
+                F.min("key").alias("first_key"),
+                F.max("key").alias("last_key"),
+                F.count_distinct("key").alias("different_keys"),
+                F.count_if(F.col("key").isNull()).alias("missing_keys"),
+            )
+        )
+    return counted[0].unionByName(counted[1])
+
+
 def _final_due(t: Tables) -> DataFrame:
     run = t.run_control.select("office_id", F.col("business_date").alias("run_date"))
     present = t.loan_trx.filter("trx_type IN (52, 53)").join(run, "office_id")
@@ -245,7 +268,7 @@ _DAY_TABLES = (
     "offices run_control centers member_categories products product_mappings members loan_summary daily_loan_trx loan_trx "
     "saving_summary daily_saving_trx saving_trx acc_chart accounting_interface acc_trx_master acc_trx_detail holidays "
     "process_info expire_infos family_grace transfer_history miscellaneous application_settings auto_voucher_check "
-    "acc_last_voucher voucher_control collection_loan_savings totals_until loan_totals"
+    "acc_last_voucher voucher_control key_control collection_loan_savings totals_until loan_totals"
 ).split()
 
 
@@ -348,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "eod_loan_correction": Query(
         "loan_summary_id loan_repaid:m int_paid:m int_charge:m", day_end.apply_corrections
     ),
+    "eod_history_keys": Query("table_name:s new_rows first_key last_key different_keys missing_keys", _history_keys),
     "eod_disbursement_trx": Query(_LOAN_TRX, day_end.disbursement_trx),
     "eod_disbursement_roll": Query(
         "loan_summary_id posted principal_loan:m int_charge:m int_paid:m final_disbursement disburse_date:d",

@@ -494,13 +494,13 @@ def clear_collections(t: Tables) -> DataFrame:
     return without_run(drop_where(df, F.col("collection_date") == F.col("run_date")))
 
 
-def open_process(t: Tables) -> DataFrame:
-    """A process row per office for the run date, added where none exists."""
+def new_process(t: Tables) -> DataFrame:
+    """A process row for each office without one for the run date; the process run deals the keys."""
     nothing = F.lit(None).cast("date")
     missing = t.run_control.join(
         t.process_info.select("office_id", "business_date"), ["office_id", "business_date"], "left_anti"
     )
-    opened = missing.select(
+    return missing.select(
         F.lit(None).cast("bigint").alias("process_info_id"),
         "office_id",
         "organization_id",
@@ -512,7 +512,11 @@ def open_process(t: Tables) -> DataFrame:
         F.lit(0).alias("month_closing_status"),
         nothing.alias("month_closing_date"),
     )
-    return t.process_info.unionByName(opened)
+
+
+def open_process(t: Tables) -> DataFrame:
+    """A process row per office for the run date, added where none exists."""
+    return t.process_info.unionByName(new_process(t))
 
 
 def voucher_flag_reset(t: Tables) -> DataFrame:

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import accounts, adjustments, totals, validations, vouchers
+from ledgerloom.operators import accounts, adjustments, keys, totals, validations, vouchers
 from ledgerloom.operators import day_end as eod
 from ledgerloom.operators import month_close as mon
 from ledgerloom.operators import start_of_day as sod
@@ -31,6 +31,12 @@ def _saved(t: Tables, stage: Stage, step: str, *names: str) -> Tables:
     return t.replace(**{name: stage.save(f"{step}/{name}", getattr(t, name)) for name in names})
 
 
+def _keyed(t: Tables, stage: Stage, step: str, name: str, rows: DataFrame) -> tuple[Tables, DataFrame]:
+    """New rows of a table, written with their keys, and the table set whose control knows these."""
+    keyed = stage.save(step, keys.with_keys(t, name, stage.save(f"{step}-unkeyed", rows)))
+    return t.replace(key_control=stage.save(f"{step}-keys", keys.dealt(t, name, keyed))), keyed
+
+
 def _stage(t: Tables, label: str) -> Stage:
     return Stage(t.run_control.sparkSession, label)
 
@@ -68,11 +74,12 @@ def start_of_day(t: Tables, enforce: bool = True) -> Outcome:
     t = t.replace(daily_loan_trx=sod.corrections_after_exclusions(t))
     t = _saved(t, stage, "corrected", "daily_loan_trx")
     long_term = sod.lts_savings(t)
+    t, opened = _keyed(t, stage, "opened", "process_info", sod.new_process(t))
     t = t.replace(
         daily_saving_trx=t.daily_saving_trx.unionByName(long_term, allowMissingColumns=True),
         loan_summary=sod.reset_partial(t),
         collection_loan_savings=sod.clear_collections(t),
-        process_info=sod.open_process(t),
+        process_info=t.process_info.unionByName(opened),
     )
     return Outcome(t, report)
 
@@ -159,15 +166,16 @@ def day_end(t: Tables, enforce: bool = True) -> Outcome:
     t = _saved(t, stage, "rolled", "loan_summary")
     disbursed = eod.disbursement_trx(t)
     t = t.replace(loan_summary=eod.roll_disbursement(t))
-    posted = stage.save("posted", posted.unionByName(disbursed))
-    new_savings = stage.save("posted-savings", eod.post_saving_trx(t))
+    t, posted = _keyed(t, stage, "posted", "loan_trx", posted.unionByName(disbursed))
+    t, new_savings = _keyed(t, stage, "posted-savings", "saving_trx", eod.post_saving_trx(t))
     t = t.replace(saving_summary=eod.roll_saving_summary(t), loan_summary=eod.close_loans(t))
     t = t.replace(loan_trx=history.unionByName(posted))
     t = _saved(t, stage, "closed", "saving_summary", "loan_summary")
     today = stage.save("today", eod.zero_repeat_due(t))
     earlier = _not_of_run_date(t, t.loan_trx)
     t = t.replace(loan_trx=earlier.unionByName(today))
-    day_rows = today.unionByName(eod.final_due(t))
+    t, final = _keyed(t, stage, "final", "loan_trx", eod.final_due(t))
+    day_rows = today.unionByName(final)
     day_rows = stage.save("day-rows", eod.purge_zero_due(day_rows, t))
     cash = stage.save("cash", accounts.cash_close(t))
     t = accounts.flush_cash(t, cash)
@@ -223,7 +231,7 @@ def month_close(t: Tables, enforce: bool = True) -> Outcome:
     t = eod.clear_day(t)
     balances = mon.apply_new_in_7(t, mon.min_age_balance(t, stage.save("balances", mon.month_balances(t))))
     interest = mon.final_interest(t, mon.savings_interest(t, balances))
-    accrued = stage.save("accrued", mon.accrual_trx(t))
+    t, accrued = _keyed(t, stage, "accrued", "loan_trx", mon.accrual_trx(t))
     t = t.replace(month_wise_saving_interest=interest, process_info=mon.close_process(t), loan_summary=mon.loan_accrual(t))
     t = _saved(t, stage, "loans", "loan_summary")
     earlier = _not_of_month_end(t, t.loan_trx)

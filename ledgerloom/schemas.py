@@ -161,6 +161,9 @@ SCHEMAS: dict[str, str] = {
     "voucher_control": """
     office_id bigint, organization_id bigint, first_date date
     """,
+    "key_control": """
+    table_name string, last_key bigint
+    """,
     "totals_until": """
     office_id bigint, until date
     """,

@@ -278,6 +278,12 @@ FIXTURE_SQL["acc_trx_detail"] = FIXTURE_SQL["acc_trx_detail"].replace("base_acc_
 FIXTURE_SQL["voucher_control"] = """
         SELECT office_id, organization_id, min(trx_date) first_date FROM acc_trx_master GROUP BY office_id, organization_id
     """
+# the last surrogate key of each table whose new rows get one
+FIXTURE_SQL["key_control"] = """
+        SELECT 'loan_trx' table_name, max(loan_trx_id) last_key FROM loan_trx
+        UNION ALL SELECT 'saving_trx', max(saving_trx_id) FROM saving_trx
+        UNION ALL SELECT 'process_info', max(process_info_id) FROM process_info
+    """
 # totals reach the first of the run's month; an office in five has none yet
 FIXTURE_SQL["totals_until"] = """
         SELECT office_id, CAST(date_trunc('month', business_date) AS DATE) until FROM run_control WHERE office_id%5<>4

@@ -20,6 +20,7 @@ KEYS = {
     "daily_saving_trx": ["daily_saving_trx_id"],
     "saving_trx": ["saving_trx_id"],
     "voucher_control": ["office_id", "organization_id"],
+    "key_control": ["table_name"],
     "totals_until": ["office_id"],
     "loan_totals": ["loan_summary_id"],
     "acc_chart": ["organization_id", "acc_code"],
