@@ -42,6 +42,13 @@ def test_large_sides_are_not_broadcast(spark, tables):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+@pytest.mark.parametrize("key", ["vp_01", "vp_02", "vp_09", "vp_10", "vp_18", "voucher_gates", "voucher_ledger"])
+def test_chart_and_interface_are_not_broadcast(key, spark):
+    plan = _plan(QUERIES[key].run(spark, SF_DIR))
+    for lookup in ("product_id", "acc_code", "product_code", "bank_name", "trx_master_id"):
+        assert f"BroadcastHashJoin [{lookup}#" not in plan, lookup
+
+
 def _hot(tables, share=3):
     """A day in which a third of all rows belongs to one loan."""
     day = tables.daily_loan_trx
