@@ -1,11 +1,13 @@
 """Physical plans: no products of tables, no Python in the data path, pruned scans; and skewed inputs stay right."""
 
+import re
+
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import QUERIES
-from ledgerloom.operators import adjustments, day_end, start_of_day
+from ledgerloom.operators import adjustments, changes, day_end, start_of_day
 
 
 def _plan(df):
@@ -49,6 +51,14 @@ def test_chart_and_interface_are_not_broadcast(key, spark):
         assert f"BroadcastHashJoin [{lookup}#" not in plan, lookup
 
 
+def test_lookups_of_many_rows_are_not_broadcast(tables, monkeypatch):
+    monkeypatch.setattr(changes, "BROADCAST_ROWS", 1)
+    for build in (start_of_day.loan_sheet, start_of_day.lts_savings, start_of_day.last_installment):
+        plan = _plan(build(tables))
+        for key in ("product_id", "office_id#[0-9]+L, center_id#[0-9]+L, member_id"):
+            assert not re.search(rf"BroadcastHashJoin \[{key}#[0-9]+L\], .*(Inner|LeftOuter), BuildRight", plan), key
+
+
 def _hot(tables, share=3):
     """A day in which a third of all rows belongs to one loan."""
     day = tables.daily_loan_trx
