@@ -55,7 +55,7 @@ def test_lookups_of_many_rows_are_not_broadcast(tables, monkeypatch):
     monkeypatch.setattr(changes, "BROADCAST_ROWS", 1)
     for build in (start_of_day.loan_sheet, start_of_day.lts_savings, start_of_day.last_installment):
         plan = _plan(build(tables))
-        for key in ("product_id", "office_id#[0-9]+L, center_id#[0-9]+L, member_id"):
+        for key in ("product_id", "loan_summary_id", "office_id#[0-9]+L, center_id#[0-9]+L, member_id"):
             assert not re.search(rf"BroadcastHashJoin \[{key}#[0-9]+L\], .*(Inner|LeftOuter), BuildRight", plan), key
 
 
