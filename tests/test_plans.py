@@ -51,6 +51,17 @@ def test_chart_and_interface_are_not_broadcast(key, spark):
         assert f"BroadcastHashJoin [{lookup}#" not in plan, lookup
 
 
+@pytest.mark.parametrize(
+    "key",
+    [f"vp_{n:02d}" for n in range(1, 33) if n not in (1, 2, 9, 10, 18)]
+    + ["voucher_postings", "voucher_masters", "voucher_details", "voucher_last_number"],
+)
+def test_no_voucher_broadcasts_the_chart(key, spark):
+    plan = _plan(QUERIES[key].run(spark, SF_DIR))
+    for lookup in ("product_id", "acc_code", "product_code", "bank_name", "trx_master_id"):
+        assert f"BroadcastHashJoin [{lookup}#" not in plan, lookup
+
+
 def test_lookups_of_many_rows_are_not_broadcast(tables, monkeypatch):
     monkeypatch.setattr(changes, "BROADCAST_ROWS", 1)
     for build in (start_of_day.loan_sheet, start_of_day.lts_savings, start_of_day.last_installment):
