@@ -198,3 +198,14 @@ def test_hot_loan_is_summed_before_it_is_dealt(spark, tables):
     copies = one.crossJoin(spark.range(5_000)).withColumn("daily_loan_trx_id", F.col("id") + 10_000_000).drop("id")
     hot = t.replace(daily_loan_trx=t.daily_loan_trx.unionByName(copies))
     assert adjustments.day_sums(hot).count() == adjustments.day_sums(t).count()
+
+
+def test_tasks_follow_the_number_of_loans(tables, monkeypatch):
+    sums = adjustments.day_sums(tables)
+    expected = sorted(map(str, adjustments.shift_rows(tables, sums).collect()))
+    monkeypatch.setattr(adjustments, "LOANS_A_TASK", 40)
+    rows = adjustments.shift_rows(tables, sums)
+    tasks = tables.loan_summary.count() // 40 + 1
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(rf"hashpartitioning\(office_id#\d+L?, loan_summary_id#\d+L?, {tasks}\)", plan)) >= 2
+    assert sorted(map(str, rows.collect())) == expected
