@@ -1,9 +1,12 @@
 """Derived tables: declared layout, unique keys, equal rows in both engines."""
 
 import pytest
+from conftest import SF_DIR
 
+from ledgerloom.operators import changes
 from ledgerloom.schemas import SCHEMAS
 from ledgerloom.sources.fixture_sql import FIXTURE_SQL
+from ledgerloom.sources.fixtures import derived_tables
 from oracle import _needed
 
 KEYS = {
@@ -48,3 +51,15 @@ def test_layout_and_count(name, tables, duck):
 def test_unique_key(name, tables):
     df = getattr(tables, name)
     assert df.select(*KEYS[name]).distinct().count() == df.count()
+
+
+def test_large_tables_are_derived_without_broadcast(spark, tables, monkeypatch):
+    monkeypatch.setattr(changes, "BROADCAST_ROWS", 1)
+    large = derived_tables(spark, f"{SF_DIR}/.")
+    for name in ("loan_summary", "daily_loan_trx", "loan_trx", "daily_saving_trx", "saving_trx", "acc_trx_master"):
+        base = getattr(large, f"base_{name}")
+        assert "BroadcastHashJoin" not in base._jdf.queryExecution().executedPlan().toString(), name
+        small = getattr(tables, f"base_{name}")
+        assert base.exceptAll(small).isEmpty() and small.exceptAll(base).isEmpty(), name
+    details, small = large.acc_trx_detail, tables.acc_trx_detail
+    assert details.exceptAll(small).isEmpty() and small.exceptAll(details).isEmpty()
