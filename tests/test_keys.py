@@ -33,6 +33,20 @@ def test_keys_do_not_depend_on_the_layout(spark):
     assert _values(keys.numbered(rows.repartition(7, "b"), "k", 0)) == _values(keys.numbered(rows.coalesce(1), "k", 0))
 
 
+def test_rows_move_once_unless_one_has_many_copies(spark, monkeypatch):
+    rows = _rows(spark, 345)
+
+    def exchanges(made):
+        return made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    even = keys.numbered(rows, "k", 7)
+    assert exchanges(even) == 1
+    monkeypatch.setattr(keys, "LARGE_BUCKET", 100)
+    uneven = keys.numbered(rows, "k", 7)
+    assert exchanges(uneven) > 1
+    assert _values(even) == _values(uneven)
+
+
 def test_no_rows(spark):
     assert keys.numbered(_rows(spark, 0).limit(0), "k", 5).count() == 0
 
