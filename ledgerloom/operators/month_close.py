@@ -1,6 +1,7 @@
 """Month close: minimum-balance savings interest and monthly loan accrual.
 
 The savings half and the loan half share nothing and run independently. History tables are read for one month only.
+Accounts are met by shuffle: a few of their columns are little in a file, but a row each in memory of the driver.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from ledgerloom.operators.changes import (
     ACCOUNT_KEYS,
     LOAN_KEYS,
     MEMBER_KEYS,
+    by_shuffle,
     products_of,
     set_where,
     with_run,
@@ -41,7 +43,7 @@ def _month_of_savings(t: Tables) -> DataFrame:
 def saving_transactions(t: Tables) -> DataFrame:
     """The month's transactions of open accounts (balance and date)."""
     open_accounts = t.saving_summary.filter("saving_status = 1").select(*ACCOUNT)
-    rows = _month_of_savings(t).join(open_accounts, ACCOUNT, "left_semi")
+    rows = _month_of_savings(t).join(by_shuffle(open_accounts), ACCOUNT, "left_semi")
     return rows.select(*ACCOUNT, "organization_id", "balance", "transaction_date")
 
 
@@ -62,7 +64,7 @@ def savings_register(t: Tables) -> DataFrame:
         )
     )
     accounts = t.saving_summary.filter("saving_status = 1").groupBy(*ACCOUNT_KEYS).agg(F.count(F.lit(1)).alias("n"))
-    rows = sums.join(accounts, ACCOUNT_KEYS)
+    rows = sums.join(by_shuffle(accounts), ACCOUNT_KEYS)
     amounts = [(F.col(c) * F.col("n")).cast(MONEY).alias(c) for c in ("personal_savings", "withdrawal", "balance")]
     return rows.select(*keys, *amounts)
 
@@ -110,14 +112,14 @@ def min_balance(t: Tables) -> DataFrame:
     candidates = saving_transactions(t).unionByName(opening_rows(t))
     keys = [c for c in ACCOUNT if c != "no_of_account"]
     dated = t.saving_summary.filter("saving_status = 1").select(*keys, "transaction_date")
-    joined = candidates.join(dated, [*keys, "transaction_date"], "left_semi")
+    joined = candidates.join(by_shuffle(dated), [*keys, "transaction_date"], "left_semi")
     rows = joined.groupBy(*ACCOUNT, "organization_id", "transaction_date")
     return rows.agg(F.min("balance").cast(MONEY).alias("balance"))
 
 
 def static_balance(t: Tables, moved: DataFrame) -> DataFrame:
     """Open accounts not in ``moved``: deposits less withdrawals, dated month start."""
-    rows = with_run(t.saving_summary.filter("saving_status = 1"), t).join(moved.select(*ACCOUNT), ACCOUNT, "left_anti")
+    rows = with_run(t.saving_summary.filter("saving_status = 1"), t).join(by_shuffle(moved.select(*ACCOUNT)), ACCOUNT, "left_anti")
     return rows.select(
         *ACCOUNT,
         "organization_id",
@@ -158,7 +160,7 @@ def new_after_7(t: Tables) -> DataFrame:
 
 def min_age_balance(t: Tables, balances: DataFrame) -> DataFrame:
     """Balances of accounts younger than the month's days less 7 at month end become zero."""
-    rows = with_run(balances, t).join(_summary(t, opening_date="opening_date"), ACCOUNT, "left")
+    rows = with_run(balances, t).join(by_shuffle(_summary(t, opening_date="opening_date")), ACCOUNT, "left")
     wanted_age = F.dayofmonth(last_date(F.col("run_month_end"))) - 7
     young = F.col("opening_date").isNotNull() & (
         day_diff(F.col("run_month_end"), F.col("opening_date")) < wanted_age
@@ -176,7 +178,7 @@ def new_in_7(t: Tables) -> DataFrame:
         )
         .select(*ACCOUNT, F.col("opening_date").alias("transaction_date"))
     )
-    rows = _month_of_savings(t).join(opened, [*ACCOUNT, "transaction_date"], "left_semi")
+    rows = _month_of_savings(t).join(by_shuffle(opened), [*ACCOUNT, "transaction_date"], "left_semi")
     return rows.select(*ACCOUNT, "organization_id", "balance", "transaction_date")
 
 
@@ -188,7 +190,7 @@ def apply_new_in_7(t: Tables, balances: DataFrame) -> DataFrame:
     fresh = new_in_7(t).groupBy(*ACCOUNT_KEYS).agg(
         F.max("balance").alias("new_balance"), F.max("transaction_date").alias("new_date")
     )
-    rows = balances.join(fresh, ACCOUNT_KEYS, "left")
+    rows = balances.join(by_shuffle(fresh), ACCOUNT_KEYS, "left")
     changed = set_where(
         rows, F.col("new_date").isNotNull(), balance=F.col("new_balance"), transaction_date=F.col("new_date")
     )
@@ -205,7 +207,7 @@ def final_balances(t: Tables) -> DataFrame:
 
 def savings_interest(t: Tables, balances: DataFrame) -> DataFrame:
     """Interest of the month per account: balance x rate x days over a 365- or 366-day year."""
-    rows = with_run(balances, t).join(_summary(t, interest_rate="interest_rate"), ACCOUNT)
+    rows = with_run(balances, t).join(by_shuffle(_summary(t, interest_rate="interest_rate")), ACCOUNT)
     days = day_diff(F.col("run_month_end"), _month_start()) + 1
     year = F.year("run_month_end")
     leap = (year % 4 == 0) | (year % 100 == 0) | (year % 400 == 0)
@@ -223,7 +225,7 @@ def savings_interest(t: Tables, balances: DataFrame) -> DataFrame:
 def final_interest(t: Tables, interest: DataFrame) -> DataFrame:
     """Interest of accounts opened after the 7th is zero."""
     excluded = new_after_7(t).select(*ACCOUNT, F.lit(1).alias("excluded"))
-    rows = interest.join(excluded, ACCOUNT, "left")
+    rows = interest.join(by_shuffle(excluded), ACCOUNT, "left")
     return set_where(rows, F.col("excluded") == 1, interest=0).select(*interest.columns)
 
 

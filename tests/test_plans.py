@@ -7,7 +7,8 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import QUERIES
-from ledgerloom.operators import adjustments, changes, day_end, start_of_day
+from ledgerloom.operators import adjustments, changes, day_end, month_close, start_of_day
+from ledgerloom.sources.fixtures import derived_tables
 
 
 def _plan(df):
@@ -101,3 +102,18 @@ def test_hot_loan_roll(tables):
         .collect()
     )
     assert len(difference) <= 1
+
+
+@pytest.mark.parametrize(
+    "key",
+    ["mon_saving_transactions", "mon_savings_register", "mon_min_balance", "mon_static_balance", "mon_min_age_balance",
+     "mon_new_in_7", "mon_apply_new_in_7", "mon_savings_interest", "mon_interest_final", "mon_store_interest"],
+)
+def test_month_close_broadcasts_no_accounts(key, spark):
+    if key == "mon_store_interest":
+        t = derived_tables(spark, SF_DIR)
+        plan = _plan(month_close.final_interest(t, month_close.savings_interest(t, month_close.final_balances(t))))
+    else:
+        plan = _plan(QUERIES[key].run(spark, SF_DIR))
+    for found in re.findall(r"BroadcastHashJoin \[([^]]*)\]", plan):
+        assert "no_of_account" not in found and "saving_summary_id" not in found, found
