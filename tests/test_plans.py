@@ -7,7 +7,7 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import QUERIES
-from ledgerloom.operators import adjustments, changes, day_end, month_close, start_of_day
+from ledgerloom.operators import adjustments, changes, day_end, month_close, start_of_day, vouchers
 from ledgerloom.sources.fixtures import derived_tables
 
 
@@ -63,6 +63,13 @@ def test_no_voucher_broadcasts_the_chart(key, spark):
         assert f"BroadcastHashJoin [{lookup}#" not in plan, lookup
 
 
+@pytest.mark.parametrize("key", ["vp_02", "vp_03", "vp_04", "vp_32", "voucher_gates", "voucher_postings"])
+def test_transfers_and_deceased_members_are_not_broadcast(key, tables):
+    only = frozenset({key.replace("vp_", "P")}) if key.startswith("vp_") else vouchers.ALL_RULES
+    for found in re.findall(r"BroadcastHashJoin \[([^]]*)\]", _plan(vouchers.day_amounts(tables, only))):
+        assert "member_id" not in found, found
+
+
 def test_lookups_of_many_rows_are_not_broadcast(tables, monkeypatch):
     monkeypatch.setattr(changes, "BROADCAST_ROWS", 1)
     for build in (start_of_day.loan_sheet, start_of_day.lts_savings, start_of_day.last_installment):
