@@ -100,3 +100,34 @@ def test_keys_by_loan_fall_back_for_a_hot_loan(spark, monkeypatch):
     monkeypatch.setattr(keys, "LARGE_BUCKET", 100)
     uneven = keys.numbered(rows, "k", 9, "a")
     assert sorted(map(tuple, uneven.collect())) == sorted(map(tuple, keys.numbered(rows, "k", 9).collect()))
+
+
+def test_rows_that_stay_are_not_moved_with_the_day(tables, shuffled, monkeypatch):
+    """A store writes the day's loan rows that are left, which are those of other offices, without dealing the whole day."""
+    plans = []
+
+    def planned(t, *rest):
+        t, staying = adjust(t, *rest)
+        plans.append(staying)
+        raise KeyboardInterrupt
+
+    adjust = processes.adjust
+    monkeypatch.setattr(processes, "adjust", planned)
+    with pytest.raises(KeyboardInterrupt):
+        processes.day_end(tables, enforce=False)
+    plan = plans[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftOuter, (_group#") < plan.index("LeftAnti", plan.index("LeftOuter, (_group#"))
+    assert plans[0].count() == 0
+
+
+def test_rows_of_another_organization_stay_with_their_changes(tables):
+    strange = F.col("daily_loan_trx_id") % 7 == 0
+    day = tables.daily_loan_trx.withColumn("organization_id", F.when(strange, F.lit(99)).otherwise(F.col("organization_id")))
+    t = tables.replace(daily_loan_trx=day)
+    after = processes.day_end(t, enforce=False).tables.daily_loan_trx
+    expected = adjustments.without_adjustments(t.replace(daily_loan_trx=adjustments.dedupe_charges(t))).daily_loan_trx
+    expected = expected.filter("organization_id = 99 AND NOT trx_type <=> 32").select(*day.columns)
+    got = after.filter("organization_id = 99 AND daily_loan_trx_id IS NOT NULL").select(*day.columns)
+    moved = tables.run_control.filter("organization_id = 4").select("office_id")
+    got, expected = (df.join(moved, "office_id", "left_semi") for df in (got, expected))
+    assert got.count() == expected.count() > 0 and got.exceptAll(expected).count() == 0
